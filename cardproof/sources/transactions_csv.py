@@ -41,9 +41,8 @@ def read_transactions(
     mandatory: Sequence[str] = MANDATORY,
     strict_header: bool = False,
 ) -> DataFrame:
-    """Rows that have every mandatory value, with the file they came from in ``source_file``."""
-    rows = scan_csv(spark, path, schema, strict_header)
-    return drop_missing(rows.select("*", F.col("_metadata.file_path").alias("source_file")), mandatory)
+    """Rows that have every mandatory value."""
+    return drop_missing(scan_csv(spark, path, schema, strict_header), mandatory)
 
 
 def read_rejects(
