@@ -9,10 +9,12 @@ built from at most 256 rows in its own task; the fitted forest is a table of at
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,9 @@ SEED = 42
 MAX_SAMPLES = 256
 EULER_GAMMA = 0.5772156649
 
+# the functions that run in tasks travel with them, so executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # candidates drawn per tree, as a multiple of the sample size
 _OVERSAMPLING = 1.5
 _HASH_RANGE = 2**53
@@ -89,11 +94,26 @@ def fit_forest(
     trees: int = TREES,
     seed: int = SEED,
     max_samples: int = MAX_SAMPLES,
-    rows: int | None = None,
 ) -> DataFrame:
-    """Fit and return the node table. Node ``i`` has children ``2i+1`` and ``2i+2``; a leaf has feature -1."""
-    if rows is None:
-        rows = df.filter(usable(features)).count()
+    """Fit and return the stored node table. Node ``i`` has children ``2i+1`` and ``2i+2``; a leaf has
+    feature -1.
+
+    The chance to be drawn comes from the number of all rows, which costs no scan of the features. Only
+    if so many rows lack features that a tree came out short are the usable rows counted and the
+    forest fitted again.
+    """
+    rows = df.count()
+    nodes = durable(_fit(df, features, key, rows, trees, seed, max_samples))
+    full = nodes.filter((F.col("node") == 0) & (F.col("size") == min(max_samples, rows))).count()
+    if full == trees:
+        return nodes
+    usable_rows = df.filter(usable(features)).count()
+    if usable_rows == rows:
+        return nodes
+    return durable(_fit(df, features, key, usable_rows, trees, seed, max_samples))
+
+
+def _fit(df, features, key, rows, trees, seed, max_samples) -> DataFrame:
     samples = draw_samples(df, features, key, rows, trees, seed, max_samples)
     height = math.ceil(math.log2(max(2, min(max_samples, rows))))
 
@@ -163,7 +183,7 @@ def _pack(forest: pd.DataFrame) -> tuple:
     height = int(forest["depth"].max())
     index = forest["tree"].rank(method="dense").astype(int).to_numpy() - 1
     trees, inner = index.max() + 1, 2**height - 1
-    feature = np.zeros((trees, max(inner, 1)), dtype=np.int32)
+    feature = np.zeros((trees, max(inner, 1)), dtype=np.int64)
     threshold = np.full((trees, max(inner, 1)), np.inf)
     bottom = np.zeros((trees, 2**height))
     split = (forest["feature"] >= 0).to_numpy()
@@ -179,19 +199,20 @@ def _pack(forest: pd.DataFrame) -> tuple:
     return feature, threshold, bottom, height, float(max(average_path(sample), 1e-12))
 
 
-def _scores(points, feature, threshold, bottom, height, norm, chunk: int = 1024) -> np.ndarray:
-    trees = np.arange(len(feature))
-    out = np.empty(len(points))
-    for start in range(0, len(points), chunk):
-        part = points[start : start + chunk]
-        rows = np.arange(len(part))[:, None]
-        at = np.zeros((len(part), len(trees)), dtype=np.int64)
+def _scores(points, feature, threshold, bottom, height, norm) -> np.ndarray:
+    """Walk all points through one tree at a time; a step is three lookups per point."""
+    count, inner = len(points), 2**height - 1
+    by_feature = np.ascontiguousarray(points.T).ravel()
+    rows = np.arange(count)
+    paths = np.zeros(count)
+    for tree in range(len(feature)):
+        starts = feature[tree] * count
+        at = np.zeros(count, dtype=np.int64)
         for _ in range(height):
-            right = part[rows, feature[trees, at]] > threshold[trees, at]
-            at = 2 * at + 1 + right
-        paths = bottom[trees, at - (2**height - 1)]
-        out[start : start + chunk] = -np.exp2(-paths.mean(axis=1) / norm)
-    return out
+            value = by_feature.take(starts.take(at) + rows)
+            at = 2 * at + 1 + (value > threshold[tree].take(at))
+        paths += bottom[tree].take(at - inner)
+    return -np.exp2(-paths / len(feature) / norm)
 
 
 def fraud_signals(
@@ -209,7 +230,7 @@ def fraud_signals(
     a missing feature take no part in the fit and get a null score and no flag. Raw scores are
     stored once, because the quantile needs all of them before the first row can be flagged.
     """
-    nodes = durable(fit_forest(silver, features, key, trees, seed))
+    nodes = fit_forest(silver, features, key, trees, seed)
     scored = durable(
         with_raw_score(silver.select(key, label, *dict.fromkeys(features)), nodes, features).select(
             key, "raw_score", label

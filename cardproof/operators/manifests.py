@@ -35,8 +35,9 @@ def write_manifest(
     """Append one manifest and return its batch id."""
     batch_id = batch_id or str(uuid.uuid4())
     recorded_at = recorded_at or datetime.now(timezone.utc)
-    row = (batch_id, layer, row_count, merkle_root, recorded_at, hash_scheme)
-    spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    values = (batch_id, layer, row_count, merkle_root, recorded_at, hash_scheme)
+    columns = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, MANIFEST_SCHEMA)]
+    spark.range(1, numPartitions=1).select(*columns).write.mode("append").parquet(path)
     return batch_id
 
 

@@ -113,29 +113,29 @@ def upsert_table(
         if example:
             raise DuplicateSourceKeys(f"several source rows for target key {example.asDict()}")
 
-    touched, repeated = _touched_parts(spark, base, incoming, keys)
+    touched, matched, repeated = _touched_parts(spark, base, incoming, keys)
     keep = [p for p in base.parts if p not in touched]
     old = snapshots.read(spark, base, sorted(touched))
-    if not touched:
-        snapshots.publish(spark, base, staged, keep=keep)
-        return count
     if repeated:
         # every copy of a matched target row takes the source values
         copies = old.select(*keys).join(incoming, keys, "inner").select(*base.schema.names)
         fresh = absent_rows(incoming, target, keys)
         rows = kept_rows(old, incoming, keys).unionByName(copies).unionByName(fresh)
         result = [snapshots.stage(arrange(rows) if arrange else rows, path, partition_by)]
-    else:
+    elif old.count() > matched:
         rest = kept_rows(old, incoming, keys)
         result = [staged, snapshots.stage(arrange(rest) if arrange else rest, path, partition_by)]
+    else:
+        result = [staged]
     snapshots.publish(spark, base, *result, keep=keep)
     return count
 
 
 def _touched_parts(
     spark: SparkSession, base: snapshots.Snapshot, incoming: DataFrame, keys: list[str]
-) -> tuple[set[str], bool]:
-    """Parts of the base that hold a key of the source, and whether such a key has several rows.
+) -> tuple[set[str], int, bool]:
+    """Parts of the base that hold a key of the source, the number of rows there with such a key, and
+    whether one of these keys has several rows.
 
     Works on keys only. Both sides are grouped before they are joined, and what reaches the driver is
     at most one row per part.
@@ -147,11 +147,16 @@ def _touched_parts(
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"), F.min(part).alias("part_id"))
     )
-    matched = per_key.join(incoming.select(*keys).distinct(), keys, "left_semi")
-    rows = matched.groupBy("part_id").agg(F.max(F.col("n") > 1).alias("repeated")).collect()
-    if any(r.repeated for r in rows):
-        return set(base.parts), True
-    ids = {r.part_id for r in rows}
+    per_part = (
+        per_key.join(incoming.select(*keys).distinct(), keys, "left_semi")
+        .groupBy("part_id")
+        .agg(F.sum("n").alias("rows"), F.max(F.col("n") > 1).alias("repeated"))
+        .collect()
+    )
+    matched = sum(r.rows for r in per_part)
+    if any(r.repeated for r in per_part):
+        return set(base.parts), matched, True
+    ids = [r.part_id for r in per_part]
     names = spark.createDataFrame([(p,) for p in base.parts], "part string")
     touched = names.filter(F.xxhash64("part").isin(ids)).collect() if ids else []
-    return {r.part for r in touched}, False
+    return {r.part for r in touched}, matched, False

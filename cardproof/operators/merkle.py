@@ -23,9 +23,11 @@ from cardproof.sources.durable import durable
 
 # a block is folded inside one row: 2^10 nodes, about 100 kB
 BLOCK_BITS = 10
-# leading characters that name a range of leaves; ranges with more distinct leaves get longer names
+# leading characters that name a range of leaves: few for short leaf sets, so that most blocks lie in one
+# range, more where a range would hold too many distinct leaves for one task
 RANGE_CHARS = 3
 RANGE_STEP = 2
+RANGE_TARGET = 32_000
 RANGE_LIMIT = 4_000_000
 
 _GROUP = "_group"
@@ -43,17 +45,11 @@ def merkle_roots(
     """
     group = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
     texts = leaves.select(group.alias(_GROUP), F.coalesce(F.col(leaf), F.lit("")).alias("h"))
-    range_of, counts = _ranges(texts, range_limit)
-
-    sizes = counts.groupBy(_GROUP).agg(F.sum("c").alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-
-    runs = _runs(texts, range_of, counts)
-    runs = _fold(runs, inside_range=True)
+    range_of, counts, largest = _ranges(texts, range_limit)
+    runs = _fold(_runs(texts, range_of, counts), inside_range=True)
     passes = -(-max(largest - 1, 0).bit_length() // BLOCK_BITS)
     for _ in range(passes - 1):
         runs = _fold(runs)
-
     if by:
         return runs.select(f"{_GROUP}.*", F.col("total").alias("leaf_count"), F.col("h").alias("merkle_root"))
     return runs.agg(
@@ -67,28 +63,38 @@ def merkle_root(leaves: DataFrame, leaf: str = "row_hash") -> DataFrame:
     return merkle_roots(leaves, leaf)
 
 
-def _ranges(texts: DataFrame, limit: int) -> tuple[Column, DataFrame]:
-    """Name of a leaf's range, and the number of leaves per group and range.
+def _ranges(texts: DataFrame, limit: int) -> tuple[Column, DataFrame, int]:
+    """Name of a leaf's range, the number of leaves per group and range, and of the largest group.
 
     A range is a text prefix. SHA-256 leaves spread evenly over prefixes; where many different leaves
     share one (a huge table, or hashes somebody edited), that prefix is lengthened until none is crowded.
     Copies of one leaf do not crowd a range, they are a single run. The driver sees crowded prefixes
     only, at most one per ``limit`` leaves.
     """
-    length, name = RANGE_CHARS, F.substring("h", 1, RANGE_CHARS)
+    counts = _leaves_per_range(texts, F.substring("h", 1, RANGE_CHARS))
+    largest = counts.groupBy(_GROUP).agg(F.sum("c").alias("n")).agg(F.max("n")).first()[0] or 0
+    length = RANGE_CHARS
+    while length > 1 and largest < RANGE_TARGET * 16**length:
+        length -= 1
+    name = F.substring("h", 1, length)
+    counts = counts.groupBy(_GROUP, F.substring("r", 1, length).alias("r")).agg(F.sum("c").alias("c"))
     while True:
-        counts = durable(texts.groupBy(_GROUP, name.alias("r")).agg(F.count(F.lit(1)).alias("c")))
         full = counts.filter((F.col("c") > limit) & (F.length("r") == length)).select("r").distinct()
-        suspects = [row.r for row in full.collect()]
+        suspects = [row.r for row in full.collect()] if largest > limit else []
         if not suspects:
-            return name, counts
+            return name, counts, largest
         spread = texts.filter(name.isin(suspects)).groupBy(_GROUP, name.alias("r"))
         crowded = spread.agg(F.approx_count_distinct("h").alias("d")).filter(F.col("d") > limit)
         prefixes = [row.r for row in crowded.select("r").distinct().collect()]
         if not prefixes:
-            return name, counts
-        name = F.when(name.isin(prefixes), F.substring("h", 1, length + RANGE_STEP)).otherwise(name)
+            return name, counts, largest
         length += RANGE_STEP
+        name = F.when(name.isin(prefixes), F.substring("h", 1, length)).otherwise(name)
+        counts = _leaves_per_range(texts, name)
+
+
+def _leaves_per_range(texts: DataFrame, name: Column) -> DataFrame:
+    return durable(texts.groupBy(_GROUP, name.alias("r")).agg(F.count(F.lit(1)).alias("c")))
 
 
 def _runs(texts: DataFrame, range_of: Column, counts: DataFrame) -> DataFrame:

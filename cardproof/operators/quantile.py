@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 BINS = 4096
-# values that ``percentile`` may hold at once; beyond, the range is narrowed first
-IN_MEMORY_VALUES = 1_000_000
+# values that ``percentile_disc`` may hold at once; a longer column is narrowed first
+IN_MEMORY_VALUES = 50_000
 
 
 def exact_quantile(
@@ -17,9 +17,9 @@ def exact_quantile(
 ) -> float | None:
     """Quantile with linear interpolation; null and NaN values are left out.
 
-    ``percentile`` keeps a count per distinct value in one task. Larger columns are first narrowed: each
-    pass counts the values in equal bins between two known values and goes on in the bin that holds the
-    wanted rank, until the rest is small or a single value. A pass returns at most ``BINS`` rows.
+    Spark's exact percentile keeps a count per distinct value in one task. Here each pass counts the
+    values in equal bins between the smallest and the largest, and goes on in the bin that holds the
+    wanted rank, until that bin is short or holds a single value. A pass returns at most ``BINS`` rows.
     """
     if not 0 <= fraction <= 1:
         raise ValueError("fraction must lie between 0 and 1")
@@ -27,35 +27,39 @@ def exact_quantile(
     n, lo, hi = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
     if n == 0:
         return None
-    rank = fraction * (n - 1)
-    if n <= in_memory:
-        return values.agg(F.percentile("x", fraction)).first()[0]
-    low = _value_at(values, math.floor(rank), n, lo, hi, in_memory)
-    if rank == math.floor(rank):
-        return low
-    high = _value_at(values, math.floor(rank) + 1, n, lo, hi, in_memory)
-    return low + (high - low) * (rank - math.floor(rank))
-
-
-def _value_at(values: DataFrame, rank: int, n: int, lo: float, hi: float, in_memory: int) -> float:
-    """The value at the zero-based rank among the ``n`` values, all of them in [lo, hi]."""
+    position = fraction * (n - 1)
+    rank, share = math.floor(position), position - math.floor(position)
     while lo < hi and n > in_memory:
-        width = hi - lo
-        if not math.isfinite(width):
-            raise ValueError("a column this long must hold finite values of a finite range")
-        place = F.floor((F.col("x") - F.lit(lo)) / F.lit(width) * BINS)
-        bins = (
-            values.filter(F.col("x").between(lo, hi))
-            .groupBy(F.least(place, F.lit(BINS - 1)).alias("bin"))
-            .agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-        )
-        for row in sorted(bins.collect()):
-            n, lo, hi = row.n, row.lo, row.hi
-            if rank < n:
-                break
-            rank -= n
+        bins = _bins(values, lo, hi)
+        at = 0
+        while rank >= bins[at].n:
+            rank -= bins[at].n
+            at += 1
+        n, lo, hi = bins[at].n, bins[at].lo, bins[at].hi
+        if share and rank == n - 1:
+            # the next larger value is the first one of the next bin
+            return hi + (bins[at + 1].lo - hi) * share
     if lo == hi:
         return lo
     # half a step past the previous rank: the discrete percentile is then exactly this rank
-    wanted = F.expr(f"percentile_disc({(rank + 0.5) / n!r}) WITHIN GROUP (ORDER BY x)")
-    return values.filter(F.col("x").between(lo, hi)).agg(wanted).first()[0]
+    wanted = "percentile_disc({0!r}) WITHIN GROUP (ORDER BY x)"
+    ranks = [rank, min(rank + 1, n - 1)]
+    low, high = (
+        values.filter(F.col("x").between(lo, hi))
+        .agg(*[F.expr(wanted.format((r + 0.5) / n)) for r in ranks])
+        .first()
+    )
+    return low + (high - low) * share
+
+
+def _bins(values: DataFrame, lo: float, hi: float) -> list[Row]:
+    """Count, smallest and largest value of each occupied bin, in order."""
+    if not math.isfinite(hi - lo):
+        raise ValueError("a column this long must hold finite values of a finite range")
+    place = F.floor((F.col("x") - F.lit(lo)) / F.lit(hi - lo) * BINS)
+    counted = (
+        values.filter(F.col("x").between(lo, hi))
+        .groupBy(F.least(place, F.lit(BINS - 1)).alias("bin"))
+        .agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    )
+    return sorted(counted.collect())

@@ -87,11 +87,9 @@ def publish(spark: SparkSession, base: Snapshot | None, *staged: Staged, keep: S
     version = base.version + 1 if base else 1
     parts = tuple(keep) + tuple(p for s in staged for p in s.parts)
     schema = base.schema if base else first.schema
-    row = [(version, list(parts), list(first.partition_by), schema.json())]
-    pointer = spark.createDataFrame(row, _POINTER_SCHEMA).coalesce(1)
-    pointer.drop("version").write.mode("errorifexists").json(
-        f"{first.path}/{_POINTERS}/version={version}"
-    )
+    pointer = {"parts": parts, "partition_by": first.partition_by, "table_schema": schema.json()}
+    line = spark.range(1, numPartitions=1).select(F.lit(json.dumps(pointer)).alias("value"))
+    line.write.mode("errorifexists").text(f"{first.path}/{_POINTERS}/version={version}")
     return Snapshot(first.path, version, parts, first.partition_by, schema)
 
 

@@ -1,0 +1,132 @@
+from datetime import date, datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from cardproof.functions.columns import (
+    amount_bucket,
+    content_hash,
+    drop_missing,
+    enrich,
+    transaction_ts,
+    with_ingest_metadata,
+    with_row_hash,
+)
+from cardproof.functions.schema import CONTENT_COLUMNS, MANDATORY, MODEL_FEATURES, transaction_schema
+from tests.rows import frame, transaction
+
+NAN = float("nan")
+
+
+def test_schema_has_31_nullable_columns():
+    schema = transaction_schema()
+    assert len(schema) == 31 and all(f.nullable for f in schema)
+    assert [schema[0].name, schema[1].name, schema[-1].name] == ["Time", "V1", "Class"]
+    assert len(MODEL_FEATURES) == 29 and "Class" not in MODEL_FEATURES and "Amount" in MODEL_FEATURES
+
+
+def test_metadata_columns_and_order(spark):
+    rows = frame(spark, (0.0, 149.62, 0), (1.0, 2.69, 1))
+    bronze = with_row_hash(with_ingest_metadata(rows, "a.csv", date(2024, 1, 1)))
+    assert bronze.columns[31:] == [
+        "ingest_date", "ingest_ts", "source_file", "pipeline_version", "row_key", "row_hash",
+    ]
+    row = bronze.orderBy("Time").first()
+    assert (row.ingest_date, row.source_file, row.pipeline_version) == ("2024-01-01", "a.csv", "1.0.0")
+
+
+def test_load_time_is_one_literal(spark):
+    rows = with_ingest_metadata(frame(spark, (0.0, 1.0, 0), (1.0, 2.0, 0)), "a.csv")
+    assert rows.select("ingest_ts").distinct().collect() == rows.select("ingest_ts").distinct().collect()
+
+
+def test_row_key_depends_on_time_and_amount_only(spark):
+    rows = frame(spark, (0.0, 5.0, 0), (0.0, 5.0, 1), (0.0, 6.0, 0))
+    keys = [r.row_key for r in with_ingest_metadata(rows, "a").orderBy("Amount").collect()]
+    assert keys[0] == keys[1] != keys[2]
+    assert len(keys[0]) == 64
+
+
+def test_row_hash_is_stable_hex_and_content_sensitive(spark):
+    rows = with_row_hash(frame(spark, (0.0, 100.0, 0), (0.0, 100.0, 0), (0.0, 100.0, 1), (0.0, 99.0, 0)))
+    hashes = [r.row_hash for r in rows.collect()]
+    assert hashes[0] == hashes[1] and len(set(hashes)) == 3
+    assert all(len(h) == 64 and set(h) <= set("0123456789abcdef") for h in hashes)
+
+
+def test_hash_schemes_differ_on_moved_nulls(spark):
+    rows = spark.createDataFrame([(None, 5.0), (5.0, None)], "a double, b double")
+    v1 = rows.select(content_hash(["a", "b"], "v1").alias("h")).distinct().count()
+    v2 = rows.select(content_hash(["a", "b"], "v2").alias("h")).distinct().count()
+    assert (v1, v2) == (1, 2)
+    with pytest.raises(ValueError):
+        content_hash(["a"], "v3")
+
+
+@pytest.mark.parametrize(
+    "amount, band",
+    [
+        (-1.0, "0-10"), (0.0, "0-10"), (9.99, "0-10"), (10.0, "10-50"), (49.99, "10-50"), (50.0, "50-200"),
+        (75.0, "50-200"), (200.0, "200-1000"), (500.0, "200-1000"), (1000.0, "1000+"), (5000.0, "1000+"),
+        (NAN, "1000+"), (None, "1000+"),
+    ],
+)
+def test_amount_bands(spark, amount, band):
+    row = spark.createDataFrame([(amount,)], "Amount double").select(amount_bucket().alias("b")).first()
+    assert row.b == band
+
+
+@pytest.mark.parametrize(
+    "seconds, expected",
+    [
+        (0.0, datetime(2013, 9, 1)),
+        (86399.9, datetime(2013, 9, 1, 23, 59, 59)),
+        (86400.0, datetime(2013, 9, 2)),
+        (-1.0, datetime(2013, 8, 31, 23, 59, 59)),
+        (NAN, None), (None, None), (1e300, None), (9e18, None),
+    ],
+)
+def test_transaction_time(spark, seconds, expected):
+    row = spark.createDataFrame([(seconds,)], "Time double").select(
+        transaction_ts().cast("timestamp_ntz").alias("ts")
+    ).first()
+    assert row.ts == expected
+
+
+def test_time_shows_the_same_clock_in_every_zone(spark, conf):
+    for zone in ("UTC", "America/New_York", "Asia/Tokyo"):
+        conf(spark__sql__session__timeZone=zone)
+        row = enrich(frame(spark, (3 * 3600.0, 1.0, 0))).first()
+        assert (row.transaction_date, row.transaction_hour) == (date(2013, 9, 1), 3)
+
+
+def test_enrich_columns(spark):
+    silver = enrich(frame(spark, (90000.0, 99.0, 1), (0.0, -2.0, 0)))
+    assert silver.columns[31:] == [
+        "transaction_ts", "transaction_date", "transaction_hour", "amount_bucket", "is_fraud", "amount_log1p",
+    ]
+    fraud, odd = silver.orderBy(F.desc("Time")).collect()
+    assert fraud.is_fraud and not odd.is_fraud
+    assert fraud.transaction_date == date(2013, 9, 2) and fraud.transaction_hour == 1
+    assert abs(fraud.amount_log1p - 4.605170185988092) < 1e-12 and odd.amount_log1p is None
+
+
+def test_rows_without_a_mandatory_value_are_dropped(spark):
+    rows = frame(
+        spark, transaction(None, 1.0, 0), transaction(1.0, None, 0), transaction(1.0, 1.0, None),
+        transaction(NAN, 1.0, 0), transaction(1.0, NAN, 0), transaction(1.0, 1.0, 0, V3=None),
+    )
+    kept = drop_missing(rows, MANDATORY).collect()
+    assert len(kept) == 1 and kept[0].V3 is None
+
+
+def test_content_columns_cover_the_schema():
+    assert list(CONTENT_COLUMNS) == transaction_schema().names
+
+
+def test_given_load_time_is_used(spark):
+    moment = datetime(2024, 5, 1, 12, tzinfo=timezone.utc)
+    row = with_ingest_metadata(frame(spark, (0.0, 1.0, 0)), "a", None, moment).select(
+        "ingest_date", F.col("ingest_ts").cast("bigint").alias("t")
+    ).first()
+    assert (row.ingest_date, row.t) == ("2024-05-01", int(moment.timestamp()))
