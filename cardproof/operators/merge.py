@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from cardproof.sources import snapshots
 from cardproof.sources.durable import durable
 
+# up to this many source keys are sent to every task that reads the target's keys
+BROADCAST_KEYS = 100_000
+
 Arrange = Callable[[DataFrame], DataFrame]
 
 
@@ -24,14 +27,14 @@ class DuplicateSourceKeys(ValueError):
 def absent_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows, copies included, whose key the target does not hold.
 
-    The keys are compared after both sides are reduced to distinct keys, so a hot key costs one row per
-    map task. The keys present on both sides are stored: a short list is then broadcast and the wide
-    rows do not move, a long one is joined by two plain shuffles, where adaptive execution can split
-    a hot source key.
+    The distinct source keys are stored first, then the keys that the target has as well. Each of the two
+    joins so has a stored side of single keys: a short one is broadcast and the other side does
+    not move, a long one is joined by two plain shuffles, where adaptive execution can split a key that
+    many rows of the other side share.
     """
     keys = list(keys)
-    incoming = source.select(*keys).distinct()
-    present = durable(incoming.join(target.select(*keys).distinct(), keys, "left_semi"))
+    incoming = durable(source.select(*keys).distinct())
+    present = durable(target.select(*keys).join(incoming, keys, "left_semi").distinct())
     return source.join(present, keys, "left_anti")
 
 
@@ -137,18 +140,18 @@ def _touched_parts(
     """Parts of the base that hold a key of the source, the number of rows there with such a key, and
     whether one of these keys has several rows.
 
-    Works on keys only. Both sides are grouped before they are joined, and what reaches the driver is
-    at most one row per part.
+    Works on keys only. The target is grouped by key before the join, so that a hot key costs one row
+    per map task; a small source, by count, first leaves only its own keys of the target. What reaches
+    the driver is at most one row per part.
     """
     part = F.xxhash64(snapshots.part_of_row(base.partition_by))
-    per_key = (
-        snapshots.read_with_load(spark, base)
-        .dropna(subset=keys)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(part).alias("part_id"))
-    )
+    target = snapshots.read_with_load(spark, base).dropna(subset=keys)
+    wanted = incoming.select(*keys).distinct()
+    if incoming.count() <= BROADCAST_KEYS:
+        target = target.join(F.broadcast(wanted), keys, "left_semi")
+    per_key = target.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(part).alias("part_id"))
     per_part = (
-        per_key.join(incoming.select(*keys).distinct(), keys, "left_semi")
+        per_key.join(wanted, keys, "left_semi")
         .groupBy("part_id")
         .agg(F.sum("n").alias("rows"), F.max(F.col("n") > 1).alias("repeated"))
         .collect()

@@ -38,7 +38,6 @@ def daily_from_bands(bands: DataFrame, updated_ts: datetime | None = None) -> Da
             F.max("peak").alias("max_amount"),
         )
         .withColumn("updated_ts", _stamp(updated_ts))
-        .orderBy("transaction_date")
     )
 
 
@@ -66,16 +65,15 @@ def hourly_from_bands(bands: DataFrame, updated_ts: datetime | None = None) -> D
             _stamp(updated_ts).alias("updated_ts"),
             F.when(has_hour, F.col("_dominant")).alias("amount_bucket"),
         )
-        .orderBy(*HOUR)
     )
 
 
 def daily_summary(silver: DataFrame, updated_ts: datetime | None = None) -> DataFrame:
-    return daily_from_bands(band_totals(silver), updated_ts)
+    return daily_from_bands(band_totals(silver), updated_ts).orderBy("transaction_date")
 
 
 def hourly_summary(silver: DataFrame, updated_ts: datetime | None = None) -> DataFrame:
-    return hourly_from_bands(band_totals(silver), updated_ts)
+    return hourly_from_bands(band_totals(silver), updated_ts).orderBy(*HOUR)
 
 
 def bucket_counts(silver: DataFrame) -> DataFrame:

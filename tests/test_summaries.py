@@ -75,11 +75,6 @@ def test_top_days_break_ties_by_date(silver):
     assert [r.transaction_date for r in top] == [D1]
 
 
-def test_summary_does_not_need_the_cached_frame(silver):
-    plan = daily_summary(silver)._jdf.queryExecution().optimizedPlan().toString()
-    assert "InMemoryRelation" not in plan
-
-
 def test_latest_row_wins_and_hash_breaks_ties(spark):
     rows = spark.createDataFrame(
         [("a", 1, "x"), ("a", 2, "z"), ("a", 2, "y"), ("b", 1, "q"), (None, 1, "n"), (None, 2, "m")],
