@@ -34,7 +34,6 @@ def verify_batches(
     manifests: DataFrame,
     layer: str = "bronze",
     content: Sequence[str] = CONTENT_COLUMNS,
-    scheme: str = "v1",
 ) -> DataFrame:
     """One row per batch found in the table or in the manifests, with its verdict.
 
@@ -42,12 +41,12 @@ def verify_batches(
     stored and over the recomputed hashes, are the recorded ones. The count is compared because a tree
     that repeats the last node of an odd level has the same root when that leaf is added once more.
 
-    Recomputed hashes equal the stored ones in a batch without tampered rows, so a second tree is built
-    for the other batches only.
+    Hashes are recomputed by the scheme that the batch's manifest names. They equal the stored ones in a
+    batch without tampered rows, so a second tree is built for the other batches only.
     """
-    hashed = with_recomputed_hash(rows, content, scheme).select(
-        F.coalesce("batch_id", F.lit("")).alias("batch_id"), "row_hash", RECOMPUTED
-    )
+    known = manifest_per_batch(manifests, layer)
+    named = rows.withColumn("batch_id", F.coalesce("batch_id", F.lit("")))
+    hashed = _by_recorded_scheme(named, known, content).select("batch_id", "row_hash", RECOMPUTED)
     counts = durable(
         hashed.groupBy("batch_id").agg(
             F.count(F.lit(1)).alias("row_count"), F.count_if(_differs()).alias("tampered_row_count")
@@ -67,7 +66,7 @@ def verify_batches(
         ).select(
             *report.columns, F.coalesce("_root_again", "root_over_stored").alias("root_over_recomputed")
         )
-    recorded = manifest_per_batch(manifests, layer).select(
+    recorded = known.select(
         "batch_id",
         F.col("row_count").alias("recorded_row_count"),
         F.col("merkle_root").alias("recorded_root"),
@@ -108,17 +107,19 @@ def verify_table(
     manifests: DataFrame,
     layer: str = "bronze",
     content: Sequence[str] = CONTENT_COLUMNS,
-    scheme: str = "v1",
 ) -> DataFrame:
     """The whole table against the layer's latest manifest: one row.
 
     Fits a table that was loaded in one batch. Only the stored hashes enter the root, so an edit that
     leaves the hash alone shows as a tampered row, not as another root.
     """
+    latest = latest_manifest_of(manifests, layer)
+    newest = latest.first()
+    scheme = newest.hash_scheme if newest else "v1"
     hashed = with_recomputed_hash(rows, content, scheme).select("row_hash", RECOMPUTED)
     counts = hashed.agg(F.count_if(_differs()).alias("tampered_row_count"))
     root = merkle_root(hashed, "row_hash").select(F.col("merkle_root").alias("computed_root"))
-    recorded = latest_manifest_of(manifests, layer).agg(F.max("merkle_root").alias("stored_root"))
+    recorded = latest.agg(F.max("merkle_root").alias("stored_root"))
     # three frames of exactly one row each
     one = F.lit(1).alias("_one")
     joined = counts.select("*", one).join(root.select("*", one), "_one").join(recorded.select("*", one), "_one")
@@ -171,5 +172,19 @@ def findings(batches: DataFrame) -> DataFrame:
     return batches.select("batch_id", F.inline(F.array_compact(F.array(*found))))
 
 
+def _by_recorded_scheme(rows: DataFrame, known: DataFrame, content: Sequence[str]) -> DataFrame:
+    """Add the recomputed hash; batches without a manifest are taken to use ``v1``."""
+    schemes = [r.hash_scheme for r in known.select("hash_scheme").distinct().collect()]
+    if len(schemes) <= 1:
+        return with_recomputed_hash(rows, content, *schemes)
+    # only the batches that differ from v1, stored, so that the join is a broadcast or can be split
+    other = durable(known.filter("hash_scheme <> 'v1'").select("batch_id", "hash_scheme"))
+    by_name = F.when(F.col("hash_scheme") == "v2", content_hash(content, "v2"))
+    hashed = rows.join(other, "batch_id", "left").withColumn(
+        RECOMPUTED, by_name.otherwise(content_hash(content, "v1"))
+    )
+    return hashed.drop("hash_scheme")
+
+
 def _differs():
     return ~F.col("row_hash").eqNullSafe(F.col(RECOMPUTED))

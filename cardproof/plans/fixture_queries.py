@@ -478,6 +478,19 @@ def iforest_signals(spark: SparkSession, folder: str) -> DataFrame:
     return forest.fraud_signals(rows, names, contamination=0.1)
 
 
+@query
+def iforest_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """How many vectors are scored and flagged: the contamination fixes the number below the threshold."""
+    rows, names = _vectors(spark, folder)
+    signals = forest.fraud_signals(rows, names, contamination=0.1)
+    return signals.agg(
+        F.count("anomaly_score").alias("scored"),
+        F.count_if("is_predicted_fraud").alias("flagged"),
+        F.count_if("is_actual_fraud").alias("actual"),
+        F.countDistinct("row_key").alias("keys"),
+    )
+
+
 @query
 def iforest_events(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of all events, with their evaluation against the label."""

@@ -317,6 +317,10 @@ SQL: dict[str, str] = {
         SELECT "Time", "V1", "V2", "Amount",
                "V1" IS NOT NULL AND "V2" IS NOT NULL AND "Amount" IS NOT NULL AS usable
         FROM ({_GAPS})""",
+    "iforest_counts": """
+        SELECT count(*) AS scored, CAST(ceil(0.1 * (count(*) - 1)) AS BIGINT) AS flagged,
+               count(*) FILTER (WHERE label = 0) AS actual, count(DISTINCT vec_id) AS keys
+        FROM embeddings""",
     "full_pipeline": _daily(_LOADED),
     "pipeline_silver": f"SELECT *, ingest_date AS batch_id FROM ({_LOADED})",
     "pipeline_bronze_audit": f"""

@@ -31,6 +31,8 @@ from cardproof.sources.durable import durable
 from cardproof.sources.transactions_csv import read_transactions
 
 PARTITION = ("ingest_date",)
+# loads that a summary table may be spread over before it is written anew
+GOLD_PARTS = 32
 
 
 def run_bronze(
@@ -83,10 +85,13 @@ def run_silver(
     bronze = snapshots.read_table(spark, bronze_path)
     if ingest_dates is not None:
         bronze = bronze.filter(F.col("ingest_date").isin(list(ingest_dates)))
-    silver = enrich(latest_per_key(bronze), origin)
-    return upsert_table(
+    newest = [F.desc("ingest_ts"), F.asc("row_hash"), F.asc("ingest_date"), F.asc("source_file")]
+    silver = enrich(latest_per_key(bronze, order=newest), origin)
+    count = upsert_table(
         silver, silver_path, ["row_key"], PARTITION, arrange=cluster_rows, unique_source=True
     )
+    snapshots.rewrite_split_partitions(spark, silver_path, cluster_rows)
+    return count
 
 
 def run_gold(spark: SparkSession, silver_path: str, daily_path: str, hourly_path: str) -> dict[str, int]:
@@ -97,6 +102,8 @@ def run_gold(spark: SparkSession, silver_path: str, daily_path: str, hourly_path
         daily_from_bands(bands, now), daily_path, ["transaction_date"], unique_source=True
     )
     hourly = upsert_table(hourly_from_bands(bands, now), hourly_path, HOUR, unique_source=True)
+    for path, order in ((daily_path, HOUR[:1]), (hourly_path, HOUR)):
+        snapshots.rewrite_split_partitions(spark, path, lambda df: df.orderBy(*order), GOLD_PARTS)
     return {"daily": daily, "hourly": hourly}
 
 
@@ -139,7 +146,6 @@ def verify_bronze_integrity(
     audit_path: str,
     features: Sequence[str] = FEATURES,
     scope: str = "batch",
-    hash_scheme: str = "v1",
 ) -> dict:
     """Check the stored table against its hashes and manifests.
 
@@ -147,12 +153,12 @@ def verify_bronze_integrity(
     the latest manifest.
     """
     if scope == "batch":
-        batches = verify_bronze_batches(spark, bronze_path, audit_path, features, hash_scheme)
+        batches = verify_bronze_batches(spark, bronze_path, audit_path, features)
         return verdict(batches).first().asDict()
     if scope != "table":
         raise ValueError(f"unknown scope {scope!r}")
     bronze, manifests = snapshots.read_table(spark, bronze_path), read_manifests(spark, audit_path)
-    table = verify_table(bronze, manifests, "bronze", content_columns(features), hash_scheme)
+    table = verify_table(bronze, manifests, "bronze", content_columns(features))
     return table.first().asDict()
 
 
@@ -161,8 +167,7 @@ def verify_bronze_batches(
     bronze_path: str,
     audit_path: str,
     features: Sequence[str] = FEATURES,
-    hash_scheme: str = "v1",
 ) -> DataFrame:
     """The verdict of each batch, stored once; ``findings`` lists what is wrong with it."""
     bronze, manifests = snapshots.read_table(spark, bronze_path), read_manifests(spark, audit_path)
-    return durable(verify_batches(bronze, manifests, "bronze", content_columns(features), hash_scheme))
+    return durable(verify_batches(bronze, manifests, "bronze", content_columns(features)))

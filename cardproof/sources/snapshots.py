@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -89,7 +89,15 @@ def publish(spark: SparkSession, base: Snapshot | None, *staged: Staged, keep: S
     schema = base.schema if base else first.schema
     pointer = {"parts": parts, "partition_by": first.partition_by, "table_schema": schema.json()}
     line = spark.range(1, numPartitions=1).select(F.lit(json.dumps(pointer)).alias("value"))
-    line.write.mode("errorifexists").text(f"{first.path}/{_POINTERS}/version={version}")
+    target = f"{first.path}/{_POINTERS}/version={version}"
+    try:
+        line.write.mode("errorifexists").text(target)
+    except AnalysisException as error:
+        now = current(spark, first.path)
+        if error.getCondition() != "PATH_ALREADY_EXISTS" or (now and now.version >= version):
+            raise
+        # a writer that died before its pointer was complete left the folder behind
+        line.write.mode("overwrite").text(target)
     return Snapshot(first.path, version, parts, first.partition_by, schema)
 
 
@@ -130,6 +138,21 @@ def create_or_replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()
     return publish(df.sparkSession, base, stage(df, path, partition_by))
 
 
+def rewrite_split_partitions(
+    spark: SparkSession, path: str, arrange: Callable[[DataFrame], DataFrame], max_parts: int = 1
+) -> Snapshot:
+    """Write anew each partition that is spread over more than ``max_parts`` loads."""
+    base = current(spark, path)
+    loads: dict[str, list[str]] = {}
+    for part in base.parts:
+        loads.setdefault(part.partition("/")[2], []).append(part)
+    split = [p for parts in loads.values() if len(parts) > max_parts for p in parts]
+    if not split:
+        return base
+    staged = stage(arrange(read(spark, base, split)), path, base.partition_by)
+    return publish(spark, base, staged, keep=[p for p in base.parts if p not in set(split)])
+
+
 def _partition_folder(folder: str, partition_by: Sequence[str], row: T.Row) -> str:
     for name, value in zip(partition_by, row):
         if value is None or not _PLAIN_VALUE.fullmatch(value):

@@ -11,7 +11,7 @@ from cardproof.operators.manifests import read_manifests
 from cardproof.plans import stages
 from cardproof.session import get_spark
 from cardproof.sources import snapshots
-from tests.rows import frame
+from tests.rows import frame, transaction
 
 
 @pytest.fixture
@@ -88,10 +88,15 @@ def test_edited_files_are_found(spark, root):
     assert {r.check for r in audit.findings(batches).collect()} == {"row_hash", "merkle_root"}
 
 
-def test_null_safe_hash_scheme(spark, root):
-    bronze(spark, root, "one", *FIRST, hash_scheme="v2")
+def test_each_batch_is_checked_by_its_own_hash_scheme(spark, root):
+    gap = transaction(5.0, 6.0, 0, V1=None)
+    bronze(spark, root, "one", *FIRST, gap, hash_scheme="v2")
     assert read_manifests(spark, f"{root}/log").first().hash_scheme == "v2"
-    assert stages.verify_bronze_integrity(spark, f"{root}/b", f"{root}/log", hash_scheme="v2")["clean"]
+    assert stages.verify_bronze_integrity(spark, f"{root}/b", f"{root}/log", scope="table")["clean"]
+    bronze(spark, root, "two", transaction(7.0, 8.0, 0, V1=None), hash_scheme="v1")
+    bronze(spark, root, "three", transaction(9.0, 8.0, 0, V1=None), hash_scheme="v2")
+    verdict = stages.verify_bronze_integrity(spark, f"{root}/b", f"{root}/log")
+    assert verdict["clean"] and verdict["batches"] == 3
 
 
 def test_silver_dedups_and_reruns(spark, root):

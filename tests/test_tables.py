@@ -68,6 +68,27 @@ def test_second_writer_of_a_version_fails(spark, tmp_path, make):
     assert ("c", 3, "x") not in rows_of(spark, path)
 
 
+def test_pointer_left_by_a_dead_writer_does_not_block(spark, tmp_path, make):
+    path = f"{tmp_path}/t"
+    snapshots.create_or_replace(make(("a", 1, "x")), path)
+    (tmp_path / "t" / "_snapshots" / "version=2" / "_temporary").mkdir(parents=True)
+    assert rows_of(spark, path) == [("a", 1, "x")]
+    snapshots.create_or_replace(make(("b", 2, "x")), path)
+    assert rows_of(spark, path) == [("b", 2, "x")]
+
+
+def test_split_partitions_are_written_anew(spark, tmp_path, make):
+    path = f"{tmp_path}/t"
+    merge.insert_into_table(make(("a", 1, "x"), ("b", 1, "y")), path, ["k"], ["p"])
+    merge.insert_into_table(make(("c", 1, "x")), path, ["k"], ["p"])
+    before = snapshots.current(spark, path)
+    after = snapshots.rewrite_split_partitions(spark, path, lambda df: df.orderBy("k"))
+    assert [p.split("/")[1] for p in sorted(after.parts, key=lambda p: p[-1])] == ["p=x", "p=y"]
+    assert set(before.parts) & set(after.parts) == {p for p in before.parts if p.endswith("p=y")}
+    assert rows_of(spark, path) == [("a", 1, "x"), ("b", 1, "y"), ("c", 1, "x")]
+    assert snapshots.rewrite_split_partitions(spark, path, lambda df: df) == after
+
+
 def test_odd_partition_values_and_columns_are_refused(spark, tmp_path, make):
     for value in (None, "a/b", "50%"):
         with pytest.raises(ValueError):
