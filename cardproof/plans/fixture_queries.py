@@ -503,8 +503,8 @@ def iforest_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _ingested(spark: SparkSession, folder: str) -> str:
-    """Two overlapping CSV batches, each with repeated rows, taken through bronze and silver."""
-    root, csv = new_scratch_path(spark, "pipeline"), new_scratch_path(spark, "csv")
+    """Two overlapping CSV batches, each with repeated rows, loaded into bronze and silver."""
+    root, csv = new_scratch_path(spark, "tables"), new_scratch_path(spark, "csv")
     rows = transactions(spark, folder)
     early, late = rows.filter(_day() < 20), rows.filter(_day() >= 10)
     for name, part in (("2024-02-01", early), ("2024-02-02", late)):
@@ -517,22 +517,57 @@ def _ingested(spark: SparkSession, folder: str) -> str:
     return root
 
 
-@query
-def full_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+def _ingested_gold(spark: SparkSession, folder: str) -> str:
     root = _ingested(spark, folder)
     stages.run_gold(spark, f"{root}/silver", f"{root}/daily", f"{root}/hourly")
-    daily = snapshots.read_table(spark, f"{root}/daily").drop("updated_ts")
-    return _rounded(daily, *DAILY_FLOATS)
+    return root
+
+
+@query
+def stages_daily(spark: SparkSession, folder: str) -> DataFrame:
+    daily = snapshots.read_table(spark, f"{_ingested_gold(spark, folder)}/daily")
+    return _rounded(daily.drop("updated_ts"), *DAILY_FLOATS)
 
 
 @query
-def pipeline_silver(spark: SparkSession, folder: str) -> DataFrame:
+def stages_hourly(spark: SparkSession, folder: str) -> DataFrame:
+    hourly = snapshots.read_table(spark, f"{_ingested_gold(spark, folder)}/hourly")
+    return _rounded(hourly.drop("updated_ts"), "avg_amount")
+
+
+@query
+def stages_silver(spark: SparkSession, folder: str) -> DataFrame:
     rows = snapshots.read_table(spark, f"{_ingested(spark, folder)}/silver")
     kept = [*CONTENT, "ingest_date", "row_key", "row_hash", "batch_id", "transaction_date", "transaction_hour"]
     return rows.select(*kept, "amount_bucket", "is_fraud")
 
 
 @query
-def pipeline_bronze_audit(spark: SparkSession, folder: str) -> DataFrame:
+def stages_bronze_audit(spark: SparkSession, folder: str) -> DataFrame:
     root = _ingested(spark, folder)
     return stages.verify_bronze_batches(spark, f"{root}/bronze", f"{root}/audit", EVENT_FEATURES)
+
+
+@query
+def stages_signals(spark: SparkSession, folder: str) -> DataFrame:
+    """The written signals table, counted against the labels of silver."""
+    root = _ingested(spark, folder)
+    features = [*EVENT_FEATURES, "Amount"]
+    stages.run_anomaly_detection(spark, f"{root}/silver", f"{root}/signals", features)
+    signals = snapshots.read_table(spark, f"{root}/signals")
+    return signals.agg(
+        F.count("anomaly_score").alias("scored"),
+        F.count_if("is_predicted_fraud").alias("flagged"),
+        F.count_if("is_actual_fraud").alias("actual"),
+        F.countDistinct("row_key").alias("keys"),
+    )
+
+
+@query
+def stages_report(spark: SparkSession, folder: str) -> DataFrame:
+    """CSV to the report of the top days, with the standard time origin."""
+    csv = new_scratch_path(spark, "csv")
+    transactions(spark, folder).write.option("header", True).csv(csv)
+    root = new_scratch_path(spark, "tables")
+    report = stages.run_all(spark, csv, root, "2024-02-01", EVENT_FEATURES)
+    return _rounded(report, "fraud_rate", "total_volume")

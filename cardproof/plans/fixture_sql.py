@@ -321,12 +321,21 @@ SQL: dict[str, str] = {
         SELECT count(*) AS scored, CAST(ceil(0.1 * (count(*) - 1)) AS BIGINT) AS flagged,
                count(*) FILTER (WHERE label = 0) AS actual, count(DISTINCT vec_id) AS keys
         FROM embeddings""",
-    "full_pipeline": _daily(_LOADED),
-    "pipeline_silver": f"SELECT *, ingest_date AS batch_id FROM ({_LOADED})",
-    "pipeline_bronze_audit": f"""
+    "stages_daily": _daily(_LOADED),
+    "stages_hourly": _hourly(_LOADED),
+    "stages_silver": f"SELECT *, ingest_date AS batch_id FROM ({_LOADED})",
+    "stages_bronze_audit": f"""
         SELECT g AS batch_id, leaf_count AS row_count, leaf_count AS recorded_row_count,
                CAST(0 AS BIGINT) AS tampered_row_count, merkle_root AS recorded_root,
                merkle_root AS root_over_stored, merkle_root AS root_over_recomputed,
                true AS row_count_match, true AS merkle_match, true AS clean, 'clean' AS status
         FROM ({_roots(_BRONZE)})""",
+    "stages_signals": f"""
+        SELECT count(*) AS scored, CAST(ceil(0.002 * (count(*) - 1)) AS BIGINT) AS flagged,
+               count(*) FILTER (WHERE is_fraud) AS actual, count(DISTINCT row_key) AS keys
+        FROM ({_LOADED})""",
+    "stages_report": f"""
+        SELECT CAST(transaction_date - CAST(DATE '2024-01-01' - DATE '2013-09-01' AS INTEGER) AS DATE)
+                   AS transaction_date, total_transactions, fraud_count, fraud_rate, total_volume
+        FROM ({_daily(_SILVER)}) ORDER BY fraud_count DESC, transaction_date LIMIT 10""",
 }

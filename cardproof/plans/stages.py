@@ -107,7 +107,7 @@ def run_gold(spark: SparkSession, silver_path: str, daily_path: str, hourly_path
     return {"daily": daily, "hourly": hourly}
 
 
-def run_pipeline(
+def run_all(
     spark: SparkSession,
     csv_path: str,
     root: str,

@@ -131,9 +131,9 @@ def test_gold_upserts_and_keeps_stale_days(spark, root):
     assert daily == {date(2013, 9, 1): 2.0, date(2013, 9, 2): 75.0}
 
 
-def test_pipeline_report(spark, root):
+def test_report_of_all_stages(spark, root):
     csv = write_csv(spark, f"{root}/in", *FIRST)
-    report = stages.run_pipeline(spark, csv, f"{root}/t", "2024-01-01").collect()
+    report = stages.run_all(spark, csv, f"{root}/t", "2024-01-01").collect()
     assert [(r.transaction_date, r.total_transactions, r.fraud_count) for r in report] == [
         (date(2013, 9, 1), 2, 1), (date(2013, 9, 2), 1, 0),
     ]
