@@ -27,7 +27,7 @@ from cardproof.operators.summaries import (
     top_fraud_days,
 )
 from cardproof.sources import snapshots
-from cardproof.sources.durable import durable
+from cardproof.sources.durable import durable, scratch_scope
 from cardproof.sources.transactions_csv import read_transactions
 
 PARTITION = ("ingest_date",)
@@ -66,7 +66,8 @@ def run_bronze(
             spark, audit_path, "bronze", root.leaf_count, root.merkle_root, batch_id, hash_scheme=hash_scheme
         )
 
-    insert_into_table(rows, bronze_path, ["row_key"], PARTITION, before_publish=record)
+    with scratch_scope(spark):
+        insert_into_table(rows, bronze_path, ["row_key"], PARTITION, before_publish=record)
     return recorded["rows"]
 
 
@@ -87,9 +88,10 @@ def run_silver(
         bronze = bronze.filter(F.col("ingest_date").isin(list(ingest_dates)))
     newest = [F.desc("ingest_ts"), F.asc("row_hash"), F.asc("ingest_date"), F.asc("source_file")]
     silver = enrich(latest_per_key(bronze, order=newest), origin)
-    count = upsert_table(
-        silver, silver_path, ["row_key"], PARTITION, arrange=cluster_rows, unique_source=True
-    )
+    with scratch_scope(spark):
+        count = upsert_table(
+            silver, silver_path, ["row_key"], PARTITION, arrange=cluster_rows, unique_source=True
+        )
     snapshots.rewrite_split_partitions(spark, silver_path, cluster_rows)
     return count
 
@@ -97,11 +99,12 @@ def run_silver(
 def run_gold(spark: SparkSession, silver_path: str, daily_path: str, hourly_path: str) -> dict[str, int]:
     """Build both summaries from one pass over silver and upsert them; returns their row counts."""
     now = datetime.now(timezone.utc)
-    bands = durable(band_totals(snapshots.read_table(spark, silver_path)))
-    daily = upsert_table(
-        daily_from_bands(bands, now), daily_path, ["transaction_date"], unique_source=True
-    )
-    hourly = upsert_table(hourly_from_bands(bands, now), hourly_path, HOUR, unique_source=True)
+    with scratch_scope(spark):
+        bands = durable(band_totals(snapshots.read_table(spark, silver_path)))
+        daily = upsert_table(
+            daily_from_bands(bands, now), daily_path, ["transaction_date"], unique_source=True
+        )
+        hourly = upsert_table(hourly_from_bands(bands, now), hourly_path, HOUR, unique_source=True)
     for path, order in ((daily_path, HOUR[:1]), (hourly_path, HOUR)):
         snapshots.rewrite_split_partitions(spark, path, lambda df: df.orderBy(*order), GOLD_PARTS)
     return {"daily": daily, "hourly": hourly}
@@ -134,8 +137,9 @@ def run_anomaly_detection(
 ) -> dict:
     """Score silver, replace the signals table and return the evaluation."""
     silver = snapshots.read_table(spark, silver_path)
-    signals = fraud_signals(silver, features, contamination=contamination, trees=trees, seed=seed)
-    snapshots.create_or_replace(signals, signals_path)
+    with scratch_scope(spark):
+        signals = fraud_signals(silver, features, contamination=contamination, trees=trees, seed=seed)
+        snapshots.create_or_replace(signals, signals_path)
     written = snapshots.read_table(spark, signals_path)
     return evaluation(written, "is_predicted_fraud", "is_actual_fraud").first().asDict()
 
@@ -152,14 +156,14 @@ def verify_bronze_integrity(
     Scope ``batch`` checks each batch against its own manifest, scope ``table`` the whole table against
     the latest manifest.
     """
-    if scope == "batch":
-        batches = verify_bronze_batches(spark, bronze_path, audit_path, features)
-        return verdict(batches).first().asDict()
-    if scope != "table":
+    if scope not in ("batch", "table"):
         raise ValueError(f"unknown scope {scope!r}")
     bronze, manifests = snapshots.read_table(spark, bronze_path), read_manifests(spark, audit_path)
-    table = verify_table(bronze, manifests, "bronze", content_columns(features))
-    return table.first().asDict()
+    content = content_columns(features)
+    with scratch_scope(spark):
+        if scope == "table":
+            return verify_table(bronze, manifests, "bronze", content).first().asDict()
+        return verdict(verify_batches(bronze, manifests, "bronze", content)).first().asDict()
 
 
 def verify_bronze_batches(

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_open_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -33,5 +37,26 @@ def durable(df: DataFrame) -> DataFrame:
     result that turned out small is broadcast, a large one is not.
     """
     path = new_scratch_path(df.sparkSession, "stage")
+    scope = _open_scope.get()
+    if scope is not None:
+        scope.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove what ``durable`` stores inside the block when it ends.
+
+    For work that is finished at that point, such as a stage. Frames made outside a scope stay readable;
+    their folders are left to the expiry of the scratch folder.
+    """
+    paths: list[str] = []
+    token = _open_scope.set(paths)
+    try:
+        yield
+    finally:
+        _open_scope.reset(token)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

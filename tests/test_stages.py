@@ -1,3 +1,4 @@
+import os
 from datetime import date
 
 import pytest
@@ -11,6 +12,7 @@ from cardproof.operators.manifests import read_manifests
 from cardproof.plans import stages
 from cardproof.session import get_spark
 from cardproof.sources import snapshots
+from cardproof.sources.durable import scratch_dir
 from tests.rows import frame, transaction
 
 
@@ -154,5 +156,20 @@ def test_anomaly_stage_replaces_its_table(spark, root):
     }
 
 
+def test_stages_leave_no_scratch_behind(spark, root, conf):
+    conf(spark__sql__shuffle__partitions="2")
+    folder = scratch_dir(spark)
+    before = set(os.listdir(folder))
+    bronze(spark, root, "one", *FIRST)
+    bronze(spark, root, "two", *FIRST)
+    stages.run_silver(spark, f"{root}/b", f"{root}/s")
+    stages.run_gold(spark, f"{root}/s", f"{root}/d", f"{root}/h")
+    stages.verify_bronze_integrity(spark, f"{root}/b", f"{root}/log")
+    stages.run_anomaly_detection(spark, f"{root}/s", f"{root}/f", trees=5)
+    assert set(os.listdir(folder)) == before
+    kept = stages.verify_bronze_batches(spark, f"{root}/b", f"{root}/log")
+    assert kept.count() == 2
+
+
 def test_session_builder_reuses_the_session(spark):
     assert get_spark("again").sparkContext is spark.sparkContext
