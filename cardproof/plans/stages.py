@@ -48,27 +48,34 @@ def run_bronze(
 ) -> int:
     """Ingest one CSV batch and return the number of rows written.
 
-    Rows whose key is already in the table are skipped. The manifest covers the rows written, as
-    they read back from storage, and is recorded before they are published; loading again under the same
-    ``batch_id`` after a failure replaces it.
+    Rows whose key is already in the table are skipped. The manifest covers the rows of the batch as
+    they read back from storage, and is recorded before they are published. Loading again under the same
+    ``batch_id``, after a failure or to add files, records the batch anew with the rows it already has.
     """
+    again = batch_id is not None and snapshots.exists(spark, bronze_path)
     batch_id = batch_id or str(uuid.uuid4())
     content = content_columns(features)
     raw = read_transactions(spark, csv_path, transaction_schema(features), strict_header=strict_header)
     rows = with_ingest_metadata(raw, F.col("_metadata.file_path"), ingest_date)
     rows = with_row_hash(rows, content, hash_scheme).withColumn("batch_id", F.lit(batch_id))
-    recorded = {}
+    count = 0
 
     def record(written: DataFrame) -> None:
-        root = merkle_root(written, "row_hash").first()
-        recorded["rows"] = root.leaf_count
+        nonlocal count
+        batch = written.select("row_hash")
+        if again:
+            stored = snapshots.read_table(spark, bronze_path).filter(F.col("batch_id") == batch_id)
+            batch = batch.unionByName(stored.select("row_hash"))
+            count = written.count()
+        root = merkle_root(batch, "row_hash").first()
+        count = count if again else root.leaf_count
         write_manifest(
             spark, audit_path, "bronze", root.leaf_count, root.merkle_root, batch_id, hash_scheme=hash_scheme
         )
 
     with scratch_scope(spark):
         insert_into_table(rows, bronze_path, ["row_key"], PARTITION, before_publish=record)
-    return recorded["rows"]
+    return count
 
 
 def run_silver(

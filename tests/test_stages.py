@@ -79,6 +79,14 @@ def test_failed_publish_can_be_repeated_under_the_same_batch(spark, root, monkey
     assert stages.verify_bronze_integrity(spark, f"{root}/b", f"{root}/log")["clean"]
 
 
+def test_a_batch_may_be_loaded_again_under_its_id(spark, root):
+    bronze(spark, root, "one", *FIRST)
+    assert bronze(spark, root, "one", *FIRST) == 0
+    assert bronze(spark, root, "one", FIRST[0], (11.0, 12.0, 0)) == 1
+    batch = stages.verify_bronze_batches(spark, f"{root}/b", f"{root}/log").collect()
+    assert [(r.batch_id, r.row_count, r.status) for r in batch] == [("one", 5, "clean")]
+
+
 def test_edited_files_are_found(spark, root):
     bronze(spark, root, "one", *FIRST)
     table = snapshots.read_table(spark, f"{root}/b")
