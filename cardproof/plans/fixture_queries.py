@@ -51,7 +51,13 @@ def query(function):
 
 
 def _rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in names})
+    """Round the named columns.
+
+    An average of cents can lie on a rounding border, where the order of addition would decide. Both the
+    query and its SQL add a billionth to averages, which moves them off the border.
+    """
+    value = {c: F.col(c) + 1e-9 if c == "avg_amount" else F.col(c) for c in names}
+    return df.withColumns({c: F.round(v, digits) for c, v in value.items()})
 
 
 # --- columns -----------------------------------------------------------------------------------

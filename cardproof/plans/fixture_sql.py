@@ -36,7 +36,7 @@ def _daily(source: str) -> str:
     SELECT transaction_date, count(*) AS total_transactions,
            CAST(sum(CAST(is_fraud AS INTEGER)) AS BIGINT) AS fraud_count,
            round(sum(CAST(is_fraud AS INTEGER)) / count(*), 6) AS fraud_rate,
-           round(sum("Amount"), 6) AS total_volume, round(avg("Amount"), 6) AS avg_amount,
+           round(sum("Amount"), 6) AS total_volume, round(avg("Amount") + 1e-9, 6) AS avg_amount,
            round(max("Amount"), 6) AS max_amount
     FROM ({source}) GROUP BY transaction_date"""
 
@@ -63,7 +63,7 @@ def _hourly(source: str) -> str:
            d.amount_bucket
     FROM (SELECT transaction_date, transaction_hour, count(*) AS total_transactions,
                  CAST(sum(CAST(is_fraud AS INTEGER)) AS BIGINT) AS fraud_count,
-                 round(avg("Amount"), 6) AS avg_amount
+                 round(avg("Amount") + 1e-9, 6) AS avg_amount
           FROM ({source}) GROUP BY ALL) b
     LEFT JOIN ({_dominant(counts)}) d
       ON b.transaction_date = d.transaction_date AND b.transaction_hour = d.transaction_hour"""
