@@ -1,4 +1,4 @@
-"""Connected components by contraction, as joins and aggregations of links."""
+"""Connected components by contraction, and the pairs still to be compared, as joins and aggregations."""
 
 from __future__ import annotations
 
@@ -54,3 +54,43 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
         return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     smallest = member.groupBy("root").agg(F.min("node").alias("component"))
     return durable(member.join(smallest, "root").select("node", "component"))
+
+
+def apart(pairs: DataFrame, member: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` whose ends are not yet in one component of ``node, component``."""
+    a = member.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
+    b = member.select(F.col("node").alias("b"), F.col("component").alias("of_b"))
+    return (
+        pairs.join(a, "a", "left")
+        .join(b, "b", "left")
+        .filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
+        .select("a", "b")
+    )
+
+
+def across(members: DataFrame, member: DataFrame) -> DataFrame:
+    """Pairs of one band in different components, without those of the band's leader, which were compared before.
+
+    ``members`` has ``band, rep, lead``. In a band, the largest component is only compared with members of
+    the others, so a large group of copies and a few strangers cost their product and not the square of the group.
+    """
+    placed = members.join(member.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "band", "rep", "lead", F.coalesce("component", "rep").alias("of")
+    )
+    parts = placed.groupBy("band", "of").agg(F.count("*").alias("n"))
+    bands = (
+        parts.groupBy("band")
+        .agg(F.count("*").alias("parts"), F.max(F.struct("n", "of")).alias("top"))
+        .filter("parts > 1")
+        .select("band", F.col("top.of").alias("top"))
+    )
+    open_rows = durable(placed.join(bands, "band"))
+    small = open_rows.filter("of <> top").select("band", F.col("rep").alias("s"), F.col("of").alias("s_of"), "lead")
+    other = open_rows.select("band", F.col("rep").alias("o"), F.col("of").alias("o_of"), "top")
+    return (
+        small.join(other, "band")
+        .filter((F.col("s_of") != F.col("o_of")) & (F.col("s") != F.col("lead")) & (F.col("o") != F.col("lead")))
+        .filter((F.col("o_of") == F.col("top")) | (F.col("s") < F.col("o")))
+        .select(F.least("s", "o").alias("a"), F.greatest("s", "o").alias("b"))
+        .distinct()
+    )

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardproof.llm.arrow_text import chunks, mix64, words
-from cardproof.llm.components import components
+from cardproof.llm.components import across, apart, components
 from cardproof.sources.durable import durable
 
 SHINGLE = 5
@@ -213,11 +213,11 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     first = durable(_confirmed(near.groupBy("rep").agg(F.min("lead").alias("a")).select("a", F.col("rep").alias("b")), regs, sets, percent))
     links, member = first, components(first)
     rest = near.select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
-    second = durable(_confirmed(_apart(rest, member), regs, sets, percent))
+    second = durable(_confirmed(apart(rest, member), regs, sets, percent))
     if not second.isEmpty():
         links = durable(links.unionByName(second))
         member = components(links)
-    third = durable(_confirmed(_across(members, member), regs, sets, percent))
+    third = durable(_confirmed(across(members, member), regs, sets, percent))
     if not third.isEmpty():
         links = durable(links.unionByName(third))
         member = components(links)
@@ -240,46 +240,6 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     )
 
 
-def _apart(pairs: DataFrame, member: DataFrame) -> DataFrame:
-    """Pairs whose ends are not yet in one component."""
-    a = member.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
-    b = member.select(F.col("node").alias("b"), F.col("component").alias("of_b"))
-    return (
-        pairs.join(a, "a", "left")
-        .join(b, "b", "left")
-        .filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
-        .select("a", "b")
-    )
-
-
-def _across(members: DataFrame, member: DataFrame) -> DataFrame:
-    """Pairs of one band in different components, without the leader's own, which were compared already.
-
-    In a band, the largest component is only compared with members of the others, so a large group of copies
-    and a few strangers cost their product and not the square of the group.
-    """
-    placed = members.join(member.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "band", "rep", "lead", F.coalesce("component", "rep").alias("of")
-    )
-    parts = placed.groupBy("band", "of").agg(F.count("*").alias("n"))
-    bands = (
-        parts.groupBy("band")
-        .agg(F.count("*").alias("parts"), F.max(F.struct("n", "of")).alias("top"))
-        .filter("parts > 1")
-        .select("band", F.col("top.of").alias("top"))
-    )
-    open_rows = durable(placed.join(bands, "band"))
-    small = open_rows.filter("of <> top").select("band", F.col("rep").alias("s"), F.col("of").alias("s_of"), "lead")
-    other = open_rows.select("band", F.col("rep").alias("o"), F.col("of").alias("o_of"), "top")
-    return (
-        small.join(other, "band")
-        .filter((F.col("s_of") != F.col("o_of")) & (F.col("s") != F.col("lead")) & (F.col("o") != F.col("lead")))
-        .filter((F.col("o_of") == F.col("top")) | (F.col("s") < F.col("o")))
-        .select(F.least("s", "o").alias("a"), F.greatest("s", "o").alias("b"))
-        .distinct()
-    )
-
-
 def _confirmed(pairs: DataFrame, regs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose corrected estimate is not clearly too low and whose full sets are similar enough."""
     side = lambda n: regs.select(

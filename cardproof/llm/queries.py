@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardproof.llm import hyperminhash, mixing, winnowing
+from cardproof.llm import hyperminhash, line_dedup, mixing, string_kernel, winnowing
 from cardproof.llm.sql import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def remainder(doc_id: Column, by: int) -> Column:
+    """crc32 of the id as text, modulo ``by``: the fold a document is in."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % by
+
+
 @query
 def op4_hyperminhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = hyperminhash.near_duplicates(table(spark, folder, "documents"))
@@ -39,3 +44,16 @@ def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     found = winnowing.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     digest = F.sha2(F.array_join("items", ","), 256)
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    model = string_kernel.train(string_kernel.sample(docs, labels.filter(~held_out)))
+    return string_kernel.toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_classes(table(spark, folder, "documents"))
