@@ -15,47 +15,64 @@ from cardproof.sources.durable import durable
 
 SPAN = 13
 GRAM = 5
+_PLACE_BITS = 28  # of a word's place in its text; the 36 bits above hold the hash, and hits are verified
 SHARE = 20  # contaminated from one hit word in this many
-NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # cut before A-Z become a-z
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def _lowered(word: Column) -> Column:
+    """A-Z as a-z and nothing else; ``lower`` does only that to a word of single bytes, and faster."""
+    return F.when(F.octet_length(word) == F.length(word), F.lower(word)).otherwise(
+        F.translate(word, ASCII_UPPER, ASCII_LOWER)
+    )
+
+
 def words(text: Column) -> Column:
     """Words of the text with A-Z in lower case; an empty list for null."""
-    lowered = F.translate(F.coalesce(text, F.lit("")), ASCII_UPPER, ASCII_LOWER)
-    return F.array_remove(F.split(lowered, NOT_WORD), "")
+    return F.array_remove(F.transform(F.split(F.coalesce(text, F.lit("")), NOT_WORD), _lowered), "")
 
 
-def kept_grams(tokens: Column, gram: int, window: int) -> tuple[Column, Column]:
-    """The grams of a word list as structs of ``hash, at``, and those of them that winnowing keeps.
+def word_hashes(text: Column) -> Column:
+    """The hashes of ``words``, without the words."""
+    hashes = F.transform(F.split(F.coalesce(text, F.lit("")), NOT_WORD), lambda w: F.xxhash64(_lowered(w)))
+    return F.array_remove(hashes, F.xxhash64(F.lit("")))
 
-    The second column reads the first under the name ``__grams``.
 
-    The smallest of a window is the leftmost of equal ones. Texts with fewer grams than a window keep their
-    smallest, texts with fewer words than a gram keep none.
+def with_kept_grams(rows: DataFrame, hashes: str, gram: int, window: int, name: str) -> DataFrame:
+    """Adds the grams that winnowing keeps as an array of longs.
+
+    A gram is one long: its hash above, its place below, so that the smallest of a window is the leftmost of equal
+    ones. The window's minimum is built from minima over a third of it. Texts with fewer grams than a window keep
+    their smallest, texts with fewer words than a gram keep none.
     """
-    count = F.size(tokens) - gram + 1
-    hashes = F.transform(
-        F.sequence(F.lit(1), count), lambda i: F.struct(F.xxhash64(F.slice(tokens, i, gram)).alias("hash"), i.alias("at"))
+    packed = F.transform(
+        hashes,
+        lambda x, i: F.shiftleft(
+            F.xxhash64(x, *(F.get(hashes, i + n) for n in range(1, gram))), _PLACE_BITS
+        ).bitwiseOR(i.cast("long")),
+    )
+    out = rows.withColumn("__grams", F.slice(packed, 1, F.greatest(F.size(hashes) - gram + 1, F.lit(0))))
+    if window == 1:
+        return out.withColumnRenamed("__grams", name)
+    third = -(-window // 3)
+    step = lambda c, ahead: F.transform(
+        c, lambda x, i: F.least(x, *(F.get(c, i + n) for n in ahead))
+    )
+    return (
+        out.withColumn("__part", step("__grams", range(1, third)))
+        .withColumn("__least", step("__part", (third, window - third)))
+        .withColumn(name, F.array_distinct(F.slice("__least", 1, F.greatest(F.size("__grams") - window + 1, F.lit(1)))))
+        .drop("__grams", "__part", "__least")
     )
-    if window > 1:
-        kept = F.array_distinct(
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(F.lit(1), count - window + 1)),
-                lambda i: F.array_min(F.slice(F.col("__grams"), i, window)),
-            )
-        )
-    else:
-        kept = F.col("__grams")
-    return F.when(count > 0, hashes), kept
 
 
-def _fingerprints(rows: DataFrame, tokens: str, gram: int, window: int) -> DataFrame:
-    """Rows with one more column pair ``hash, at`` for each kept gram."""
-    hashes, kept = kept_grams(F.col(tokens), gram, window)
-    return rows.withColumn("__grams", hashes).select(*rows.columns, F.explode(kept).alias("__kept")).select(
-        *rows.columns, F.lit(gram).alias("gram"), F.col("__kept.hash").alias("hash"), F.col("__kept.at").alias("at")
-    )
+def gram_hash(packed: str) -> Column:
+    return F.shiftright(packed, _PLACE_BITS)
+
+
+def gram_place(packed: str) -> Column:
+    return F.col(packed).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).cast("int")
 
 
 def contamination(
@@ -81,16 +98,22 @@ def contamination(
         r[0] for r in bench.filter(F.size("item_words") < span).select(F.size("item_words")).distinct().collect()
     )  # at most span - 1 numbers
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("doc_words"))
-    narrow = docs.select(
-        "doc_id", F.xxhash64("text").alias("text_key"), F.size(words(F.col("text"))).cast("long").alias("n_words")
-    )
     plans = [(gram, span - gram + 1, F.size("item_words") >= span)]
     plans += [(n, 1, F.size("item_words") == n) for n in short]
+    scanned = docs.select("doc_id", F.xxhash64("text").alias("text_key"), word_hashes(F.col("text")).alias("hashes"))
+    for at, (size, window, _) in enumerate(plans):
+        scanned = with_kept_grams(scanned, "hashes", size, window, f"kept_{at}")
+    scanned = durable(scanned.withColumn("n_words", F.size("hashes").cast("long")).drop("hashes"))
+    narrow = scanned.select("doc_id", "text_key", "n_words")
     found = None
-    for size, window, which in plans:
-        prints = _fingerprints(bench.filter(which).select("item", "item_words"), "item_words", size, window)
-        prints = durable(prints.select("item", "hash", F.col("at").alias("item_at")))
-        doc_prints = _fingerprints(keyed, "doc_words", size, window).select("doc_id", "text_key", "hash", "at")
+    for at, (size, window, which) in enumerate(plans):
+        hashed = bench.filter(which).select("item", F.transform("item_words", lambda w: F.xxhash64(w)).alias("hashes"))
+        prints = durable(with_kept_grams(hashed, "hashes", size, window, "kept").select("item", "kept"))
+        prints = prints.select("item", F.explode("kept").alias("gram"))
+        prints = durable(prints.select("item", gram_hash("gram").alias("hash"), gram_place("gram").alias("item_at")))
+        doc_prints = scanned.select("doc_id", "text_key", F.explode(f"kept_{at}").alias("gram")).select(
+            "doc_id", "text_key", gram_hash("gram").alias("hash"), gram_place("gram").alias("at")
+        )
         hits = doc_prints.join(prints, "hash").select("doc_id", "text_key", "item", (F.col("at") - F.col("item_at")).alias("shift"))
         found = hits if found is None else found.unionByName(hits)
     found = durable(found.distinct())
