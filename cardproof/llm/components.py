@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,3 +96,25 @@ def across(members: DataFrame, member: DataFrame) -> DataFrame:
         .select(F.least("s", "o").alias("a"), F.greatest("s", "o").alias("b"))
         .distinct()
     )
+
+
+def linked(members: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Links and components of rows that share bands.
+
+    ``members`` has ``band, rep, lead``, the lead being the smallest of a band; ``confirm`` keeps the pairs
+    ``a, b`` that are similar enough. Pairs are not enumerated within a band: each row is compared with the smallest of its leads,
+    then with its other leads, then with rows of its bands, and each time only what is still in different
+    components.
+    """
+    near = members.filter("rep <> lead")
+    links = durable(confirm(near.groupBy("rep").agg(F.min("lead").alias("a")).select("a", F.col("rep").alias("b"))))
+    member = components(links)
+    for pairs in (
+        lambda: apart(near.select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), member),
+        lambda: across(members, member),
+    ):
+        more = durable(confirm(pairs()))
+        if not more.isEmpty():
+            links = durable(links.unionByName(more))
+            member = components(links)
+    return links, member

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardproof.llm.arrow_text import chunks, mix64, words
-from cardproof.llm.components import across, apart, components
+from cardproof.llm.components import linked
 from cardproof.sources.durable import durable
 
 SHINGLE = 5
@@ -202,7 +202,6 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     banded = reps.select("rep", F.posexplode("bands").alias("no", "band")).select("rep", "band")
     shared = banded.groupBy("band").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).filter("n > 1")
     members = durable(banded.join(shared.select("band", "lead"), "band"))
-    near = members.filter("rep <> lead")
     involved = durable(members.select("rep").distinct())
     texts = docs.join(involved, docs["doc_id"] == involved["rep"], "left_semi").select("doc_id", "text")
     sets = durable(
@@ -210,17 +209,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     )
     regs = reps.select("rep", "n_shingles", "registers")
 
-    first = durable(_confirmed(near.groupBy("rep").agg(F.min("lead").alias("a")).select("a", F.col("rep").alias("b")), regs, sets, percent))
-    links, member = first, components(first)
-    rest = near.select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
-    second = durable(_confirmed(apart(rest, member), regs, sets, percent))
-    if not second.isEmpty():
-        links = durable(links.unionByName(second))
-        member = components(links)
-    third = durable(_confirmed(across(members, member), regs, sets, percent))
-    if not third.isEmpty():
-        links = durable(links.unionByName(third))
-        member = components(links)
+    links, member = linked(members, lambda pairs: _confirmed(pairs, regs, sets, percent))
     count = (
         links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count("*").alias("links"))
     )

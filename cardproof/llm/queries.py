@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardproof.llm import hyperminhash, line_dedup, mixing, string_kernel, winnowing
+from cardproof.llm import html_extract, hyperminhash, line_dedup, mixing, secret_scan, spotsigs, string_kernel, winnowing
 from cardproof.llm.sql import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,28 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_classes(table(spark, folder, "documents"))
+
+
+@query
+def op2_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2("base", 256).alias("base_sha256"),
+        "spans",
+        "n_live",
+        "n_example",
+    )
+
+
+@query
+def op3_spotsigs_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return spotsigs.edited_comparison(table(spark, folder, "documents"))
+
+
+@query
+def op8_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract(table(spark, folder, "pages"))

@@ -76,3 +76,38 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc_words d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+_KINDS = [
+    ("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 12, 2),
+    ("access", "AKIA[A-Z0-9]+", 18, 0),
+    ("hex", "[0-9a-f]{16,}", 16, 0),
+    ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 1, 0),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 1, 0),
+    ("vendor", "(?:gh[pousr]_|xox[abprs]-|sk_live_|sk-)[A-Za-z0-9_-]{16,}", 1, 0),
+    ("mixed", "[A-Za-z0-9+/_=-]{24,}", 24, 0),
+]
+_CUT = " UNION ALL ".join(
+    f"""SELECT doc_id, source, {n} AS rank, '{name}' AS kind, p.first, p.first + length(p.found) AS last,
+      {f"regexp_extract(p.found, '{pattern}', {group})" if group else "p.found"} AS value, {least} AS least
+    FROM (SELECT doc_id, source, unnest(list_transform(range(2, len(parts) + 1, 2), lambda i: {{'first':
+      CAST(coalesce(list_sum(list_transform(parts[1:i - 1], lambda x: length(x))), 0) AS BIGINT), 'found': parts[i]}})) AS p
+      FROM (SELECT doc_id, source, string_split(regexp_replace(t, '{pattern}', chr(1) || '\\0' || chr(1), 'g'), chr(1)) AS parts
+            FROM texts))"""
+    for n, (name, pattern, least, group) in enumerate(_KINDS)
+)
+SQL["op2_secret_ownership"] = f"""
+WITH texts AS (SELECT doc_id, source, replace(coalesce(text, ''), chr(1), chr(2)) AS t FROM documents),
+found AS (SELECT * FROM ({_CUT}) WHERE length(value) >= least),
+owned AS (SELECT value, count(DISTINCT coalesce(source, chr(0))) AS owners FROM found GROUP BY value),
+judged AS (
+  SELECT found.*, owners, kind || ':' || first || ':' || last AS span FROM found JOIN owned USING (value)
+  WHERE kind <> 'mixed' OR (owners = 1 AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[0-9]'))),
+counted AS (
+  SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+    string_agg(span, ',' ORDER BY first, rank) FILTER (rank < 3) AS base, string_agg(span, ',' ORDER BY first, rank) AS spans,
+    count(*) FILTER (owners < 3 AND len(list_distinct(string_split(value, ''))) >= 6) AS n_live, count(*) FILTER (owners >= 3) AS n_example
+  FROM judged GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM documents d LEFT JOIN counted USING (doc_id)
+"""
