@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardproof.llm import html_extract, hyperminhash, line_dedup, mixing, secret_scan, spotsigs, string_kernel, winnowing
+from cardproof.llm import html_extract, hyperminhash, katz, line_dedup, mixing, secret_scan, spotsigs, string_kernel, suffix_dedup, winnowing
 from cardproof.llm.sql import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,31 @@ def op3_spotsigs_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_extract.extract(table(spark, folder, "pages"))
+
+
+@query
+def op10_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+
+
+@query
+def op1_katz_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    model = katz.train(docs.filter(~held_out))
+    return katz.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)

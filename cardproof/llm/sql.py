@@ -111,3 +111,22 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
 FROM documents d LEFT JOIN counted USING (doc_id)
 """
+
+SQL["op10_repeated_bytes"] = """
+WITH texts AS (
+  SELECT doc_id, row_number() OVER () AS row, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+windows AS (
+  SELECT row, unnest(range(0, n - 199)) AS i, unnest(list_transform(range(0, n - 199), lambda i: md5(substr(x, 2 * i + 1, 400)))) AS w
+  FROM texts WHERE n >= 200),
+starts AS (SELECT row, i FROM windows WHERE w IN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1)),
+marked AS (SELECT row, i, i > coalesce(lag(i) OVER (PARTITION BY row ORDER BY i), -1000) + 200 AS fresh FROM starts),
+numbered AS (SELECT row, i, sum(CAST(fresh AS INT)) OVER (PARTITION BY row ORDER BY i) AS run FROM marked),
+runs AS (SELECT row, run, min(i) AS a, max(i) + 200 AS b FROM numbered GROUP BY row, run),
+pieces AS (
+  SELECT r.row, r.a, r.b, run, substr(x, 2 * coalesce(lag(r.b) OVER (PARTITION BY r.row ORDER BY r.a), 0) + 1,
+    2 * (r.a - coalesce(lag(r.b) OVER (PARTITION BY r.row ORDER BY r.a), 0))) AS kept FROM runs r JOIN texts USING (row)),
+per_row AS (SELECT row, count(*) AS n_spans, sum(b - a) AS n_removed, string_agg(kept, '' ORDER BY a) AS kept, max(b) AS tail FROM pieces GROUP BY row)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN per_row.row IS NULL THEN x ELSE kept || substr(x, 2 * tail + 1) END)) AS kept_sha256
+FROM texts LEFT JOIN per_row USING (row)
+"""
