@@ -98,16 +98,31 @@ def across(members: DataFrame, member: DataFrame) -> DataFrame:
     )
 
 
+def led(banded: DataFrame) -> DataFrame:
+    """``band, rep, lead`` for the bands of ``band, rep`` that more than one row is in.
+
+    A band is led by its most central row, the one whose bands hold the most rows together: the original of a
+    group of edited copies shares more bands with each of them than they do with each other.
+    """
+    crowded = banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    members = durable(banded.join(crowded, "band"))
+    central = members.groupBy("rep").agg(F.sum("n").alias("weight"))
+    weighed = durable(members.select("band", "rep").join(central, "rep"))
+    leads = weighed.groupBy("band").agg(F.max(F.struct("weight", "rep")).alias("top"))
+    leads = leads.select("band", F.col("top.rep").alias("lead"), F.col("top.weight").alias("lead_weight"))
+    return durable(weighed.select("band", "rep").join(leads, "band"))
+
+
 def linked(members: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
     """Links and components of rows that share bands.
 
-    ``members`` has ``band, rep, lead``, the lead being the smallest of a band; ``confirm`` keeps the pairs
-    ``a, b`` that are similar enough. Pairs are not enumerated within a band: each row is compared with the smallest of its leads,
-    then with its other leads, then with rows of its bands, and each time only what is still in different
-    components.
+    ``members`` comes from ``led``; ``confirm`` keeps the pairs ``a, b`` that are similar enough. Pairs are not
+    enumerated within a band: each row is compared with the most central of its leads, then with its other leads,
+    then with rows of its bands, and each time only what is still in different components.
     """
     near = members.filter("rep <> lead")
-    links = durable(confirm(near.groupBy("rep").agg(F.min("lead").alias("a")).select("a", F.col("rep").alias("b"))))
+    nearest = near.groupBy("rep").agg(F.max(F.struct("lead_weight", "lead")).alias("top"))
+    links = durable(confirm(nearest.select(F.col("top.lead").alias("a"), F.col("rep").alias("b"))))
     member = components(links)
     for pairs in (
         lambda: apart(near.select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), member),

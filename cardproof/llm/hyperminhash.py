@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardproof.llm.arrow_text import chunks, mix64, words
-from cardproof.llm.components import linked
+from cardproof.llm.components import led, linked
 from cardproof.sources.durable import durable
 
 SHINGLE = 5
@@ -188,8 +188,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     confirmed as linked with the row's class on the way to its component. Null or empty texts have an empty set
     and are linked with nothing; repeated rows are one class, and all rows of the kept id are kept. Null ids are taken as the smallest possible long.
 
-    Pairs are never enumerated within a band: each class is first compared with the smallest class of its
-    bands, and only pairs of one band that are still in different components are compared after that.
+    Pairs are never enumerated within a band: each class is first compared with a central class of its bands,
+    and only pairs of one band that are still in different components are compared after that.
     """
     docs = docs.select(F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("doc_id"), "text")
     rows = durable(signatures(docs, size))
@@ -200,8 +200,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
         rows.join(lone, [*keys], "inner").filter("doc_id = rep").select("rep", "n_shingles", "registers", "bands").dropDuplicates(["rep"])
     )
     banded = reps.select("rep", F.posexplode("bands").alias("no", "band")).select("rep", "band")
-    shared = banded.groupBy("band").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).filter("n > 1")
-    members = durable(banded.join(shared.select("band", "lead"), "band"))
+    members = led(banded)
     involved = durable(members.select("rep").distinct())
     texts = docs.join(involved, docs["doc_id"] == involved["rep"], "left_semi").select("doc_id", "text")
     sets = durable(

@@ -13,7 +13,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardproof.llm.components import linked
+from cardproof.llm.components import led, linked
 from cardproof.sources.durable import durable
 
 CHAIN = 2
@@ -90,8 +90,7 @@ def near_classes(prints: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     banded = prefix.select("rep", F.explode(F.array(part, part + 1)).alias("part"), "signature").select(
         F.xxhash64("part", "signature").alias("band"), "rep"
     )
-    lead = banded.groupBy("band").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).filter("n > 1").select("band", "lead")
-    members = durable(banded.join(lead, "band"))
+    members = led(banded)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         a = sets.select(F.col("rep").alias("a"), F.col("signatures").alias("s_a"))
@@ -122,9 +121,10 @@ def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     cuts = ids.agg(
         F.percentile_approx("at", [i / wanted for i in range(1, wanted)] or [0.5], max(10_000, 20 * wanted)).alias("cuts")
     ).first()["cuts"]
-    splits = [-math.inf, *sorted(set(cuts or [])), math.inf]
+    splits = [-math.inf, *(sorted(set(cuts or [])) or [0.0]), math.inf]
     cutter = Bucketizer(splits=splits, inputCol="__at", outputCol="bucket", handleInvalid="keep")
-    put = lambda df: cutter.transform(df.withColumn("__at", F.coalesce(F.col("doc_id").cast("double"), F.lit(-math.inf)))).drop("__at")
+    place = F.coalesce(F.col("doc_id").cast("double"), F.lit(-math.inf))
+    put = lambda df: cutter.transform(df.withColumn("__at", place)).drop("__at")
     order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
     inside = Window.partitionBy("bucket").orderBy(*order)
     followed = put(rows).select(

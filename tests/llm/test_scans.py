@@ -30,12 +30,12 @@ def test_secrets(spark):
         (31, "zeta " * 30_000 + "secret=q1w2e3r4t5y6", "c", 0),
     ]
     got = scanned(spark, rows)
-    assert got[1]["base"] == f"assign:2:26,access:31:{31 + len(key)}" and got[1]["n_example"] == 1 and got[1]["n_live"] == 1
+    assert got[1]["base"] == f"assign:2:26,access:32:{32 + len(key)}" and got[1]["n_example"] == 1 and got[1]["n_live"] == 1
     assert (got[2]["n_assign"], got[2]["base"]) == (0, "")
     assert got[3]["base"] == "hex:5:21" and got[3]["n_hex"] == 1
     assert all(got[i]["spans"] == "" and got[i]["n_assign"] == 0 for i in (4, 5))
     assert got[10]["n_example"] == 2 and got[10]["n_live"] == 0
-    assert got[30]["spans"] == "mixed:7:32" and got[30]["base"] == ""
+    assert got[30]["spans"] == "mixed:7:31" and got[30]["base"] == ""
     assert got[31]["base"] == "assign:150000:150019"
     assert scanned(spark, []) == {}
 
