@@ -24,7 +24,7 @@ DECAY = np.float32(0.7)
 LANDMARKS = 40
 CONTRASTS = 16  # landmarks from clean documents that look most like the others
 ALIKE = 0.6  # a unit closer than this to a landmark does not become one
-SAMPLE_ROWS = 4000  # labelled documents the machine is trained on
+SAMPLE_ROWS = 2500  # labelled documents the machine is trained on
 SAMPLE_CHARS = 200_000  # and how long each may be
 UNIT = 40  # longer strings are read through windows of this length, half of it apart
 EDGE = "^"  # stands for the beginning of a token
@@ -254,7 +254,7 @@ def train(rows: list[tuple[str, int]], count: int = LANDMARKS) -> Model:
         if len(chosen) < count and not (between[i, chosen] > ALIKE).any():
             chosen.append(i)
     landmarks = [ranked[i] for i in chosen]
-    known = sorted({u for bag in bags for u in bag})
+    known, mapped = _near_any(sorted(set(in_toxic) | set(in_clean)), landmarks)
     place = {u: i for i, u in enumerate(known)}
     parts = [  # the units of each sentence, and the document it belongs to
         (at, [place[u] for t in tokens(sentence) for u in units(t) if u in place])
@@ -262,7 +262,6 @@ def train(rows: list[tuple[str, int]], count: int = LANDMARKS) -> Model:
         for sentence in _SENTENCE.split(text)
     ]
     parts = [(at, found) for at, found in parts if found]
-    mapped = features(known, landmarks)
     weights = _sentence_machine(mapped, mapped[[place[u] for u in landmarks]], parts, labels)
     clean = np.array([not in_toxic[u] for u in known])
     look = np.where(clean, mapped @ weights, -np.inf)
@@ -272,7 +271,7 @@ def train(rows: list[tuple[str, int]], count: int = LANDMARKS) -> Model:
         mapped = np.hstack([mapped, features(known, [known[i] for i in contrast])])
         weights = _sentence_machine(mapped, mapped[[place[u] for u in landmarks]], parts, labels)
     scores = mapped @ weights
-    strongest = np.array([_strongest(scores[[place[u] for u in bag]]) for bag in bags])
+    strongest = np.array([_strongest(scores[[place[u] for u in bag if u in place]]) for bag in bags])
     for used in range(STRONGEST, 0, -1):  # a stronger unit never speaks for a lower score
         fitted = _logistic(strongest[:, :used], labels)
         if used == 1 or (fitted[1:] >= 0).all():
@@ -280,13 +279,25 @@ def train(rows: list[tuple[str, int]], count: int = LANDMARKS) -> Model:
     return Model(landmarks, weights, np.concatenate([fitted, np.zeros(STRONGEST - used)]))
 
 
+def _near_any(strings: list[str], landmarks: list[str], block: int = 20_000) -> tuple[list[str], np.ndarray]:
+    """The strings that share a subsequence with a landmark, and their kernels; the others' are all zero."""
+    kept, rows = [], []
+    for at in range(0, len(strings), block):
+        part = strings[at : at + block]
+        found = features(part, landmarks)
+        some = np.flatnonzero(found.any(axis=1))
+        kept.extend(part[i] for i in some)
+        rows.append(found[some])
+    return kept, np.concatenate(rows)
+
+
 def _sentence_machine(kernels: np.ndarray, between: np.ndarray, parts: list, labels: np.ndarray) -> np.ndarray:
     """Weights of the landmark kernels, learnt on sentences; a sentence is the sum of its units."""
     between = between.astype(float)
     value, vector = np.linalg.eigh((between + between.T) / 2 + 1e-6 * np.eye(len(between)))
     root = vector @ np.diag(np.maximum(value, 1e-6) ** -0.5) @ vector.T
-    mapped = kernels.astype(float) @ root
-    x = np.array([mapped[found].sum(axis=0) for _, found in parts])
+    mapped = kernels @ root.astype(np.float32)
+    x = np.array([mapped[found].sum(axis=0) for _, found in parts], float)
     y = np.where(labels[[at for at, _ in parts]] > 0, 1.0, -1.0)
     part = np.ones(len(y), bool)
     for _ in range(4):  # sentences of toxic documents that show nothing of it are left out, round by round
