@@ -50,7 +50,7 @@ def main() -> None:
 
     line_items = fixtures.table(spark, SF_DIR, "lineitem")
     orders = fixtures.table(spark, SF_DIR, "orders")
-    hashed = with_row_hash(line_items, fixture_queries.LINE_ITEM_TEXT)
+    hashed = with_row_hash(fixture_queries.line_items(spark, SF_DIR), fixture_queries.LINE_ITEM_TEXT)
     changed = orders.filter(F.pmod(F.xxhash64("o_orderkey"), F.lit(10)) == 0).withColumn(
         "o_totalprice", F.col("o_totalprice") + 1
     )

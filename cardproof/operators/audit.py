@@ -111,29 +111,28 @@ def verify_table(
     """The whole table against the layer's latest manifest: one row.
 
     Fits a table that was loaded in one batch. Only the stored hashes enter the root, so an edit that
-    leaves the hash alone shows as a tampered row, not as another root.
+    leaves the hash alone shows as a tampered row, not as another root. The row count is compared too: a copy of the
+    last leaf of an odd level does not change a root.
     """
-    latest = latest_manifest_of(manifests, layer)
-    newest = latest.first()
-    scheme = newest.hash_scheme if newest else "v1"
-    hashed = with_recomputed_hash(rows, content, scheme).select("row_hash", RECOMPUTED)
-    counts = hashed.agg(F.count_if(_differs()).alias("tampered_row_count"))
-    root = merkle_root(hashed, "row_hash").select(F.col("merkle_root").alias("computed_root"))
-    recorded = latest.agg(F.max("merkle_root").alias("stored_root"))
-    # three frames of exactly one row each
-    one = F.lit(1).alias("_one")
-    joined = counts.select("*", one).join(root.select("*", one), "_one").join(recorded.select("*", one), "_one")
-    match = F.coalesce(F.col("stored_root") == F.col("computed_root"), F.lit(False))
-    return joined.select(
+    newest = latest_manifest_of(manifests, layer).first()
+    recorded_root = F.lit(newest.merkle_root if newest else None).cast("string")
+    recorded_count = F.lit(newest.row_count if newest else None).cast("long")
+    hashed = with_recomputed_hash(rows, content, newest.hash_scheme if newest else "v1").select("row_hash", RECOMPUTED)
+    computed_root = F.lit(merkle_root(hashed, "row_hash").first().merkle_root)
+    match = F.coalesce(recorded_root == computed_root, F.lit(False))
+    counts = hashed.agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if(_differs()).alias("tampered_row_count")
+    )
+    same_count = recorded_count.eqNullSafe(F.col("row_count"))
+    clean = (F.col("tampered_row_count") == 0) & match & same_count
+    return counts.select(
         "tampered_row_count",
         match.alias("merkle_match"),
-        "stored_root",
-        "computed_root",
-        ((F.col("tampered_row_count") == 0) & match).alias("clean"),
-        F.when(F.col("stored_root").isNull(), "no_manifest")
-        .when((F.col("tampered_row_count") == 0) & match, "clean")
-        .otherwise("violated")
-        .alias("status"),
+        same_count.alias("row_count_match"),
+        recorded_root.alias("stored_root"),
+        computed_root.alias("computed_root"),
+        clean.alias("clean"),
+        F.when(recorded_root.isNull(), "no_manifest").when(clean, "clean").otherwise("violated").alias("status"),
     )
 
 
@@ -153,11 +152,14 @@ def findings(batches: DataFrame) -> DataFrame:
     checks = {
         "row_hash": (
             F.col("tampered_row_count") > 0,
-            F.concat(F.col("tampered_row_count").cast("string"), F.lit(" rows have mismatched hashes")),
+            F.format_string("%d rows are not what their stored hash says", "tampered_row_count"),
         ),
         "merkle_root": (
             F.col("recorded_root").isNotNull() & ~F.col("merkle_match"),
-            F.lit("Merkle root mismatch"),
+            F.format_string(
+                "root %s recorded, %s over stored and %s over recomputed hashes",
+                "recorded_root", "root_over_stored", "root_over_recomputed",
+            ),
         ),
         "row_count": (
             F.col("recorded_root").isNotNull() & ~F.col("row_count_match"),
@@ -173,12 +175,14 @@ def findings(batches: DataFrame) -> DataFrame:
 
 
 def _by_recorded_scheme(rows: DataFrame, known: DataFrame, content: Sequence[str]) -> DataFrame:
-    """Add the recomputed hash; batches without a manifest are taken to use ``v1``."""
-    schemes = [r.hash_scheme for r in known.select("hash_scheme").distinct().collect()]
-    if len(schemes) <= 1:
-        return with_recomputed_hash(rows, content, *schemes)
-    # only the batches that differ from v1, stored, so that the join is a broadcast or can be split
-    other = durable(known.filter("hash_scheme <> 'v1'").select("batch_id", "hash_scheme"))
+    """Add the recomputed hash by each batch's own scheme; batches without a manifest are taken to use ``v1``.
+
+    Only batches with another scheme are joined, stored, so that the join is a broadcast or can be split.
+    """
+    unknown = known.filter(~F.coalesce("hash_scheme", F.lit("v1")).isin("v1", "v2")).select("hash_scheme").first()
+    if unknown:
+        raise ValueError(f"unknown hash scheme {unknown.hash_scheme!r} in the manifests")
+    other = durable(known.filter("hash_scheme = 'v2'").select("batch_id", "hash_scheme"))
     by_name = F.when(F.col("hash_scheme") == "v2", content_hash(content, "v2"))
     hashed = rows.join(other, "batch_id", "left").withColumn(
         RECOMPUTED, by_name.otherwise(content_hash(content, "v1"))
@@ -186,5 +190,16 @@ def _by_recorded_scheme(rows: DataFrame, known: DataFrame, content: Sequence[str
     return hashed.drop("hash_scheme")
 
 
+class IntegrityViolation(RuntimeError):
+    """A stored batch is not what its manifest says."""
+
+
+def raise_if_violated(batches: DataFrame) -> None:
+    """Raise with all findings of ``verify_batches`` in the text, roots included."""
+    found = findings(batches).orderBy("batch_id", "check").collect()
+    if found:
+        raise IntegrityViolation("; ".join(f"{r.batch_id or '(no batch)'}: {r.detail}" for r in found))
+
+
 def _differs():
     return ~F.col("row_hash").eqNullSafe(F.col(RECOMPUTED))

@@ -39,10 +39,11 @@ _NODES = "tree int, node int, feature int, threshold double, size int, depth int
 
 
 def usable(features: Sequence[str]) -> Column:
-    """True where no feature is null or NaN."""
+    """True where every feature is a finite number."""
     ok = F.lit(True)
     for name in features:
-        ok = ok & F.col(name).isNotNull() & ~F.isnan(F.col(name).cast("double"))
+        value = F.col(name).cast("double")
+        ok = ok & value.isNotNull() & ~F.isnan(value) & (F.abs(value) < F.lit(math.inf))
     return ok
 
 
@@ -54,35 +55,36 @@ def draw_samples(
     trees: int = TREES,
     seed: int = SEED,
     max_samples: int = MAX_SAMPLES,
+    oversampling: float = _OVERSAMPLING,
 ) -> DataFrame:
     """At most ``max_samples`` rows per tree: ``tree`` and the features.
 
-    Up to ``max_samples`` rows, each tree takes all of them. Up to about 77,000 rows each row may be
-    drawn by several trees. Beyond, a row is drawn by at most one tree, so that one pass sends on about
-    1.5 samples per tree whatever the size of the table. The final cut by rank runs before the shuffle
-    as well, so copies of one key cannot flood a tree.
+    One rule for every table size. With ``p`` picks per row wanted, a row takes floor(p) trees, one more by
+    chance frac(p), and never more than there are. Its trees follow from a hashed start in hashed steps that visit
+    every tree, so they differ. The hash covers key and features: rows of one key are drawn
+    independently, and a key with a third of the rows has about a third of every sample. The cut by rank runs before the
+    shuffle as well (Spark's group limit, up to 1,000 rows), so what is sent stays near 1.5 samples per tree.
     """
     size = min(max_samples, rows)
+    names = [f"f{i}" for i in range(len(features))]
     data = df.filter(usable(features)).select(
         F.col(key).alias("_key"), *[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)]
     )
-    picks_per_row = _OVERSAMPLING * trees * size / max(rows, 1)
-    all_trees = data.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-
-    def chance(share: float, *salt) -> Column:
-        draw = F.pmod(F.xxhash64("_key", *salt), F.lit(_HASH_RANGE))
-        return draw < F.lit(int(share * _HASH_RANGE))
-
-    if rows <= max_samples:
-        drawn = all_trees
-    elif picks_per_row >= 1:
-        drawn = all_trees.filter(chance(picks_per_row / trees, "tree", F.lit(seed)))
-    else:
-        tree = F.pmod(F.xxhash64("_key", F.lit(seed + 1)), F.lit(trees)).cast("int")
-        drawn = data.filter(chance(picks_per_row, F.lit(seed))).withColumn("tree", tree)
-
-    names = [f"f{i}" for i in range(len(features))]
-    order = Window.partitionBy("tree").orderBy(F.xxhash64("_key", "tree", F.lit(seed + 2)), "_key", *names)
+    wanted = min(float(trees), oversampling * trees * size / max(rows, 1))
+    hashed = lambda salt: F.xxhash64("_key", *names, F.lit(seed), F.lit(salt))
+    extra = F.pmod(hashed(1), F.lit(_HASH_RANGE)) < F.lit(int((wanted - math.floor(wanted)) * _HASH_RANGE))
+    picks = F.lit(math.floor(wanted)) + extra.cast("int")
+    strides = [n for n in range(1, trees + 1) if math.gcd(n, trees) == 1]
+    stride = F.element_at(F.lit(strides), (F.pmod(hashed(2), F.lit(len(strides))) + 1).cast("int"))
+    start = F.pmod(hashed(3), F.lit(trees))
+    drawn = (
+        data.withColumn("_picks", picks)
+        .filter("_picks > 0")
+        .withColumns({"_start": start, "_stride": stride})
+        .withColumn("_turn", F.explode(F.sequence(F.lit(0), F.col("_picks") - 1)))
+        .withColumn("tree", F.pmod(F.col("_start") + F.col("_turn") * F.col("_stride"), F.lit(trees)).cast("int"))
+    )
+    order = Window.partitionBy("tree").orderBy(F.xxhash64("_key", *names, "tree", F.lit(seed + 2)), "_key", *names)
     ranked = drawn.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= size)
     return ranked.select("tree", *names)
 
@@ -98,23 +100,22 @@ def fit_forest(
     """Fit and return the stored node table. Node ``i`` has children ``2i+1`` and ``2i+2``; a leaf has
     feature -1.
 
-    The chance to be drawn comes from the number of all rows, which costs no scan of the features. Only
-    if so many rows lack features that a tree came out short are the usable rows counted and the
-    forest fitted again.
+    The chance to be drawn comes from the number of all rows, which costs no scan of the features. If a
+    tree came out short, for whatever reason, the usable rows are counted and more are drawn.
     """
     rows = df.count()
-    nodes = durable(_fit(df, features, key, rows, trees, seed, max_samples))
-    full = nodes.filter((F.col("node") == 0) & (F.col("size") == min(max_samples, rows))).count()
-    if full == trees:
-        return nodes
-    usable_rows = df.filter(usable(features)).count()
-    if usable_rows == rows:
-        return nodes
-    return durable(_fit(df, features, key, usable_rows, trees, seed, max_samples))
-
-
-def _fit(df, features, key, rows, trees, seed, max_samples) -> DataFrame:
-    samples = draw_samples(df, features, key, rows, trees, seed, max_samples)
+    for attempt, oversampling in enumerate((_OVERSAMPLING, 2 * _OVERSAMPLING, 8 * _OVERSAMPLING)):
+        if attempt == 1:
+            rows = df.filter(usable(features)).count()
+        nodes = durable(_fit(df, features, key, rows, trees, seed, max_samples, oversampling))
+        full = nodes.filter((F.col("node") == 0) & (F.col("size") == min(max_samples, rows))).count()
+        if full == trees or rows == 0:
+            break
+    return nodes
+
+
+def _fit(df, features, key, rows, trees, seed, max_samples, oversampling) -> DataFrame:
+    samples = draw_samples(df, features, key, rows, trees, seed, max_samples, oversampling)
     height = math.ceil(math.log2(max(2, min(max_samples, rows))))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:

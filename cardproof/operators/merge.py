@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 from cardproof.sources import snapshots
 from cardproof.sources.durable import durable
 
-# up to this many source keys are sent to every task that reads the target's keys
-BROADCAST_KEYS = 100_000
-
 Arrange = Callable[[DataFrame], DataFrame]
 
 
@@ -27,14 +24,13 @@ class DuplicateSourceKeys(ValueError):
 def absent_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows, copies included, whose key the target does not hold.
 
-    The distinct source keys are stored first, then the keys that the target has as well. Each of the two
-    joins so has a stored side of single keys: a short one is broadcast and the other side does
-    not move, a long one is joined by two plain shuffles, where adaptive execution can split a key that
-    many rows of the other side share.
+    Keys are compared as the distinct keys of both sides: a key that many rows share is one row after the first
+    aggregation, and the join after it has no aggregation on top that would keep adaptive execution from splitting it.
+    The source should be stored if it is dear to compute or not deterministic: it is read for its keys and its rows.
     """
     keys = list(keys)
     incoming = durable(source.select(*keys).distinct())
-    present = durable(target.select(*keys).join(incoming, keys, "left_semi").distinct())
+    present = durable(target.select(*keys).distinct().join(incoming, keys, "left_semi"))
     return source.join(present, keys, "left_anti")
 
 
@@ -45,7 +41,14 @@ def kept_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Data
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys, nulls apart, that more than one row has."""
-    return df.dropna(subset=list(keys)).groupBy(*keys).count().filter("count > 1").select(*keys)
+    return _keyed(df, keys).groupBy(*keys).count().filter("count > 1").select(*keys)
+
+
+def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key can match: no part of it is null. NaN is a value that equals itself, as in Spark's joins."""
+    for name in keys:
+        df = df.filter(F.col(name).isNotNull())
+    return df
 
 
 def insert_only_merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -73,12 +76,14 @@ def insert_into_table(
 ) -> snapshots.Snapshot:
     """Insert-only merge into a table, created if absent (M1). Existing files are not touched.
 
+    The source is evaluated once; ``arrange`` is applied to the rows that are inserted, so columns that only those need
+    belong there.
     ``before_publish`` is given the staged rows as read back from storage.
     """
     spark = source.sparkSession
     base = snapshots.current(spark, path)
     partition_by = base.partition_by if base else partition_by
-    rows = source if base is None else absent_rows(source, snapshots.read(spark, base), keys)
+    rows = source if base is None else absent_rows(durable(source), snapshots.read(spark, base), keys)
     staged = snapshots.stage(arrange(rows) if arrange else rows, path, partition_by)
     if before_publish:
         before_publish(snapshots.read(spark, staged))
@@ -111,8 +116,10 @@ def upsert_table(
 
     target = snapshots.read(spark, base)
     if not unique_source:
-        clash = repeated_keys(incoming, keys).join(target.select(*keys).distinct(), keys, "left_semi")
-        example = clash.first()
+        doubled = durable(repeated_keys(incoming, keys))
+        example = None
+        if not doubled.isEmpty():
+            example = doubled.join(target.select(*keys).distinct(), keys, "left_semi").first()
         if example:
             raise DuplicateSourceKeys(f"several source rows for target key {example.asDict()}")
 
@@ -141,25 +148,21 @@ def _touched_parts(
     whether one of these keys has several rows.
 
     Works on keys only. The target is grouped by key before the join, so that a hot key costs one row
-    per map task; a small source, by count, first leaves only its own keys of the target. What reaches
-    the driver is at most one row per part.
+    per map task. What reaches the driver is at most one row per part.
     """
     part = F.xxhash64(snapshots.part_of_row(base.partition_by))
-    target = snapshots.read_with_load(spark, base).dropna(subset=keys)
-    wanted = incoming.select(*keys).distinct()
-    if incoming.count() <= BROADCAST_KEYS:
-        target = target.join(F.broadcast(wanted), keys, "left_semi")
-    per_key = target.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(part).alias("part_id"))
-    per_part = (
-        per_key.join(wanted, keys, "left_semi")
-        .groupBy("part_id")
-        .agg(F.sum("n").alias("rows"), F.max(F.col("n") > 1).alias("repeated"))
-        .collect()
+    target = _keyed(snapshots.read_with_load(spark, base), keys)
+    wanted = durable(incoming.select(*keys).distinct())
+    per_key = target.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min(part).alias("part_id"), F.max(part).alias("last_part")
     )
-    matched = sum(r.rows for r in per_part)
-    if any(r.repeated for r in per_part):
-        return set(base.parts), matched, True
-    ids = [r.part_id for r in per_part]
+    found = durable(per_key.join(wanted, keys, "left_semi"))
+    matched, repeated = found.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max(F.col("n") > 1), F.lit(False))).first()
+    ids = found.select("part_id").unionByName(found.select(F.col("last_part").alias("part_id")))
+    spread = found.filter("n > 2 AND part_id <> last_part").select(*keys)
+    if not spread.isEmpty():  # copies of one key in three parts or more
+        ids = ids.unionByName(target.join(spread, keys, "left_semi").select(part.alias("part_id")))
+    wanted_ids = [r.part_id for r in ids.distinct().collect()]
     names = spark.createDataFrame([(p,) for p in base.parts], "part string")
-    touched = names.filter(F.xxhash64("part").isin(ids)).collect() if ids else []
-    return {r.part for r in touched}, matched, False
+    touched = names.filter(F.xxhash64("part").isin(wanted_ids)).collect() if wanted_ids else []
+    return {r.part for r in touched}, matched, repeated

@@ -4,62 +4,55 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BINS = 4096
-# values that ``percentile_disc`` may hold at once; a longer column is narrowed first
-IN_MEMORY_VALUES = 50_000
+# ranks are bracketed to one in so many; at most as many values are sorted in the end
+ACCURACY = 10_000
 
 
-def exact_quantile(
-    df: DataFrame, column: str, fraction: float, in_memory: int = IN_MEMORY_VALUES
-) -> float | None:
+def exact_quantile(df: DataFrame, column: str, fraction: float, accuracy: int = ACCURACY) -> float | None:
     """Quantile with linear interpolation; null and NaN values are left out.
 
-    Spark's exact percentile keeps a count per distinct value in one task. Here each pass counts the
-    values in equal bins between the smallest and the largest, and goes on in the bin that holds the
-    wanted rank, until that bin is short or holds a single value. A pass returns at most ``BINS`` rows.
+    Works on ranks only, so infinities and heavy tails need no care: two approximate percentiles around the wanted rank
+    bracket it, the values below and inside are counted exactly, and the same is done inside. A pass leaves about
+    four values in ``accuracy``, so 10^13 values take four passes. Between an infinite and another value the result is
+    the infinite one, between two different infinities NaN.
     """
     if not 0 <= fraction <= 1:
         raise ValueError("fraction must lie between 0 and 1")
     values = df.select(F.col(column).cast("double").alias("x")).filter("x IS NOT NULL AND NOT isnan(x)")
-    n, lo, hi = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
+    n = values.count()
     if n == 0:
         return None
     position = fraction * (n - 1)
     rank, share = math.floor(position), position - math.floor(position)
-    while lo < hi and n > in_memory:
-        bins = _bins(values, lo, hi)
-        at = 0
-        while rank >= bins[at].n:
-            rank -= bins[at].n
-            at += 1
-        n, lo, hi = bins[at].n, bins[at].lo, bins[at].hi
-        if share and rank == n - 1:
-            # the next larger value is the first one of the next bin
-            return hi + (bins[at + 1].lo - hi) * share
-    if lo == hi:
-        return lo
-    # half a step past the previous rank: the discrete percentile is then exactly this rank
-    wanted = "percentile_disc({0!r}) WITHIN GROUP (ORDER BY x)"
-    ranks = [rank, min(rank + 1, n - 1)]
-    low, high = (
-        values.filter(F.col("x").between(lo, hi))
-        .agg(*[F.expr(wanted.format((r + 0.5) / n)) for r in ranks])
-        .first()
-    )
+    low = _value_at(values, n, rank, accuracy)
+    if not share:
+        return low
+    x = F.col("x")
+    up_to, above = values.agg(F.count_if(x <= low), F.min(F.when(x > low, x))).first()
+    high = low if up_to > rank + 1 or above is None else above
+    if low == high or (math.isinf(low) and not math.isinf(high)):
+        return low
     return low + (high - low) * share
 
 
-def _bins(values: DataFrame, lo: float, hi: float) -> list[Row]:
-    """Count, smallest and largest value of each occupied bin, in order."""
-    if not math.isfinite(hi - lo):
-        raise ValueError("a column this long must hold finite values of a finite range")
-    place = F.floor((F.col("x") - F.lit(lo)) / F.lit(hi - lo) * BINS)
-    counted = (
-        values.filter(F.col("x").between(lo, hi))
-        .groupBy(F.least(place, F.lit(BINS - 1)).alias("bin"))
-        .agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-    )
-    return sorted(counted.collect())
+def _value_at(values: DataFrame, n: int, rank: int, accuracy: int) -> float:
+    """The value with this rank, from 0, among the ``n`` values."""
+    inside, below = values, 0
+    x = F.col("x")
+    while n > accuracy:
+        at, slack = (rank - below + 0.5) / n, 2 / accuracy
+        ends = F.percentile_approx("x", [max(0.0, at - slack), min(1.0, at + slack)], accuracy)
+        low, high = inside.agg(ends).first()[0]
+        less, least, between, most = values.agg(
+            F.count_if(x < low), F.count_if(x == low), F.count_if((x > low) & (x < high)), F.count_if(x == high)
+        ).first()
+        if rank < less + least or low == high:
+            return low
+        if rank >= less + least + between:
+            return high
+        inside, below, n = values.filter((x > low) & (x < high)), less + least, between
+    wanted = F.expr(f"percentile_disc({(rank - below + 0.5) / n!r}) WITHIN GROUP (ORDER BY x)")
+    return inside.agg(wanted).first()[0]

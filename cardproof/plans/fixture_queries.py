@@ -40,7 +40,7 @@ SCHEMA = transaction_schema(EVENT_FEATURES)
 RUN_TIME = datetime(2024, 3, 1, tzinfo=timezone.utc)
 LINE_ITEM_TEXT = (
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-    "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
 )
 LINE_KEY = ("l_orderkey", "l_linenumber")
 
@@ -50,6 +50,13 @@ def query(function):
     return function
 
 
+def line_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items with the ship date as text that does not depend on the engine."""
+    return table(spark, folder, "lineitem").withColumn(
+        "l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")
+    )
+
+
 def _rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
     """Round the named columns.
 
@@ -75,8 +82,7 @@ def row_hash(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def row_hash_lineitem(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "lineitem")
-    return with_row_hash(rows, LINE_ITEM_TEXT).select(*LINE_KEY, "row_hash")
+    return with_row_hash(line_items(spark, folder), LINE_ITEM_TEXT).select(*LINE_KEY, "row_hash")
 
 
 def _with_gaps(rows: DataFrame) -> DataFrame:
@@ -155,12 +161,12 @@ def hourly_summary_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def bucket_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return summaries.bucket_counts(silver(spark, folder))
+    return summaries.band_counts(summaries.band_totals(silver(spark, folder)))
 
 
 @query
 def dominant_bucket(spark: SparkSession, folder: str) -> DataFrame:
-    return summaries.dominant_bucket(summaries.bucket_counts(silver(spark, folder)))
+    return summaries.dominant_band(summaries.band_totals(silver(spark, folder)))
 
 
 @query
@@ -247,6 +253,32 @@ def insert_null_keys(spark: SparkSession, folder: str) -> DataFrame:
     return merge.insert_only_merge(rows, rows, ["o_orderkey"])
 
 
+def _unnumbered(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders keyed by a double that is NaN for one order."""
+    nan = F.lit(float("nan"))
+    return table(spark, folder, "orders").select(
+        F.when(F.col("o_orderkey") == 1, nan).otherwise(F.col("o_orderkey").cast("double")).alias("k"), "o_orderstatus", "o_totalprice"
+    )
+
+
+@query
+def insert_nan_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """NaN equals itself, so a stored NaN key is not inserted again."""
+    rows = _unnumbered(spark, folder)
+    merged = merge.insert_only_merge(rows.filter("o_orderstatus <> 'O' OR isnan(k)"), rows, ["k"])
+    return merged.select(F.when(~F.isnan("k"), F.col("k")).alias("k"), "o_orderstatus", F.round("o_totalprice", 2).alias("o_totalprice"))
+
+
+@query
+def upsert_nan_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """A NaN key is updated, not added once more."""
+    path, rows = new_scratch_path(spark, "table"), _unnumbered(spark, folder)
+    merge.upsert_table(rows, path, ["k"])
+    merge.upsert_table(rows.filter("k <= 100 OR isnan(k)").withColumn("o_totalprice", F.col("o_totalprice") * 2), path, ["k"])
+    stored = snapshots.read_table(spark, path)
+    return stored.select(F.when(~F.isnan("k"), F.col("k")).alias("k"), "o_orderstatus", F.round("o_totalprice", 2).alias("o_totalprice"))
+
+
 @query
 def upsert_merge(spark: SparkSession, folder: str) -> DataFrame:
     path = new_scratch_path(spark, "table")
@@ -319,7 +351,7 @@ def clustered_layout(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def merkle_root_lineitem(spark: SparkSession, folder: str) -> DataFrame:
-    return merkle_root(with_row_hash(table(spark, folder, "lineitem"), LINE_ITEM_TEXT))
+    return merkle_root(with_row_hash(line_items(spark, folder), LINE_ITEM_TEXT))
 
 
 @query
@@ -410,6 +442,28 @@ def integrity_findings(spark: SparkSession, folder: str) -> DataFrame:
     return audit.findings(_verified(spark, folder))
 
 
+@query
+def integrity_mixed_schemes(spark: SparkSession, folder: str) -> DataFrame:
+    """Batches of both hash schemes and one without a manifest, each checked by its own scheme."""
+    rows = with_row_hash(transactions(spark, folder), CONTENT).withColumn(
+        "batch_id", F.date_add(F.lit(ORIGIN), _day()).cast("string")
+    )
+    second = F.col("batch_id") == "2024-01-02"
+    rows = rows.withColumn("row_hash", F.when(second, content_hash(CONTENT, "v2")).otherwise(F.col("row_hash")))
+    roots = merkle_roots(rows, "row_hash", ["batch_id"]).filter(F.col("batch_id") != "2024-01-05")
+    log = roots.select(
+        "batch_id",
+        F.lit("bronze").alias("layer"),
+        F.col("leaf_count").alias("row_count"),
+        "merkle_root",
+        F.lit(RUN_TIME).alias("recorded_at"),
+        F.when(second, "v2").otherwise("v1").alias("hash_scheme"),
+    )
+    return audit.verify_batches(rows, log, "bronze", CONTENT).select(
+        "batch_id", "row_count", "tampered_row_count", "merkle_match", "clean", "status"
+    )
+
+
 @query
 def integrity_table_scope(spark: SparkSession, folder: str) -> DataFrame:
     """The whole table as one batch: edited amounts show as rows, not in the root over stored hashes."""
@@ -444,8 +498,8 @@ def score_threshold(spark: SparkSession, folder: str) -> DataFrame:
 def quantile_narrowed(spark: SparkSession, folder: str) -> DataFrame:
     """The same quantile rule on a column that is narrowed before it is sorted."""
     prices = table(spark, folder, "lineitem").select("l_extendedprice")
-    median = exact_quantile(prices, "l_extendedprice", 0.5, in_memory=1000)
-    low = exact_quantile(prices, "l_extendedprice", 0.002, in_memory=1000)
+    median = exact_quantile(prices, "l_extendedprice", 0.5, accuracy=1000)
+    low = exact_quantile(prices, "l_extendedprice", 0.002, accuracy=1000)
     return prices.agg(
         F.round(F.lit(median), 6).alias("median"), F.round(F.lit(low), 6).alias("low"),
         F.count_if(F.col("l_extendedprice") < low).alias("below"),

@@ -42,7 +42,7 @@ def _daily(source: str) -> str:
 
 
 _COUNTS = f"""
-    SELECT transaction_date, transaction_hour, amount_bucket, count(*) AS bucket_tx_count
+    SELECT transaction_date, transaction_hour, amount_bucket, count(*) AS transactions
     FROM ({_SILVER}) GROUP BY ALL"""
 
 
@@ -50,13 +50,13 @@ def _dominant(counts: str) -> str:
     return f"""
     SELECT transaction_date, transaction_hour, amount_bucket FROM (
         SELECT *, row_number() OVER (PARTITION BY transaction_date, transaction_hour
-                                     ORDER BY bucket_tx_count DESC, amount_bucket) AS place
+                                     ORDER BY transactions DESC, amount_bucket) AS place
         FROM ({counts})) WHERE place = 1"""
 
 
 def _hourly(source: str) -> str:
     counts = f"""
-    SELECT transaction_date, transaction_hour, amount_bucket, count(*) AS bucket_tx_count
+    SELECT transaction_date, transaction_hour, amount_bucket, count(*) AS transactions
     FROM ({source}) GROUP BY ALL"""
     return f"""
     SELECT b.transaction_date, b.transaction_hour, b.total_transactions, b.fraud_count, b.avg_amount,
@@ -82,8 +82,9 @@ def _hash(columns, null_text: str | None = None) -> str:
 
 _LINE_ITEM_TEXT = (
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-    "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
 )
+_LINE_ITEMS = """(SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate) FROM lineitem)"""
 
 _CSV = f"""
     SELECT "Time", "V1", "V2", CASE WHEN "Amount" <= 300 THEN "Amount" END AS "Amount",
@@ -169,7 +170,7 @@ _BRONZE = f"""
 SQL: dict[str, str] = {
     "row_keys": f'SELECT "V2", {_KEY} AS row_key FROM ({_TX})',
     "row_hash": f'SELECT "V2", {_hash(_CONTENT)} AS row_hash FROM ({_TX})',
-    "row_hash_lineitem": f"SELECT l_orderkey, l_linenumber, {_hash(_LINE_ITEM_TEXT)} AS row_hash FROM lineitem",
+    "row_hash_lineitem": f"SELECT l_orderkey, l_linenumber, {_hash(_LINE_ITEM_TEXT)} AS row_hash FROM {_LINE_ITEMS}",
     "row_hash_schemes": f"""
         SELECT "Time", "Amount", {_hash(_CONTENT)} AS hash_v1, {_hash(_CONTENT, "chr(0)")} AS hash_v2
         FROM ({_GAPS})""",
@@ -240,6 +241,12 @@ SQL: dict[str, str] = {
             f'SELECT * REPLACE ("Amount" * 3 AS "Amount") FROM ({_SILVER}) '
             f'WHERE transaction_date >= DATE {chr(39)}2024-01-10{chr(39)}'
         )})""",
+    "insert_nan_keys": """
+        SELECT CASE WHEN o_orderkey <> 1 THEN CAST(o_orderkey AS DOUBLE) END AS k, o_orderstatus,
+               round(o_totalprice, 2) AS o_totalprice FROM orders""",
+    "upsert_nan_keys": """
+        SELECT CASE WHEN o_orderkey <> 1 THEN CAST(o_orderkey AS DOUBLE) END AS k, o_orderstatus,
+               round(CASE WHEN o_orderkey <= 100 THEN o_totalprice * 2 ELSE o_totalprice END, 2) AS o_totalprice FROM orders""",
     "repeated_keys": """
         SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(*) > 1""",
     "partition_pruned_read": f"""
@@ -250,7 +257,7 @@ SQL: dict[str, str] = {
         FROM ({_SILVER}) WHERE transaction_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-11'""",
     "merkle_root_lineitem": f"""
         SELECT leaf_count, merkle_root
-        FROM ({_roots(f"SELECT 1 AS g, {_hash(_LINE_ITEM_TEXT)} AS h FROM lineitem")})""",
+        FROM ({_roots(f"SELECT 1 AS g, {_hash(_LINE_ITEM_TEXT)} AS h FROM {_LINE_ITEMS}")})""",
     "merkle_root_repeated_leaves": f"""
         SELECT g AS l_linestatus, leaf_count, merkle_root FROM ({_roots(
             f"SELECT l_linestatus AS g, {_hash(('l_returnflag', 'l_linestatus'))} AS h FROM lineitem"
@@ -272,14 +279,20 @@ SQL: dict[str, str] = {
     "integrity_findings": f"""
         WITH v AS ({_VERIFIED})
         SELECT batch_id, 'row_hash' AS "check",
-               tampered_row_count || ' rows have mismatched hashes' AS detail
+               tampered_row_count || ' rows are not what their stored hash says' AS detail
         FROM v WHERE tampered_row_count > 0
-        UNION ALL SELECT batch_id, 'merkle_root', 'Merkle root mismatch' FROM v
+        UNION ALL SELECT batch_id, 'merkle_root', 'root ' || recorded_root || ' recorded, ' || root_over_stored || ' over stored and '
+            || root_over_recomputed || ' over recomputed hashes' FROM v
         WHERE recorded_root IS NOT NULL AND NOT merkle_match
         UNION ALL SELECT batch_id, 'row_count', recorded_row_count || ' rows recorded, ' || row_count || ' found'
         FROM v WHERE recorded_root IS NOT NULL AND NOT row_count_match
         UNION ALL SELECT batch_id, 'manifest', 'no manifest for this batch' FROM v
         WHERE recorded_root IS NULL""",
+    "integrity_mixed_schemes": f"""
+        SELECT batch_id, count(*) AS row_count, CAST(0 AS BIGINT) AS tampered_row_count,
+               batch_id <> '2024-01-05' AS merkle_match, batch_id <> '2024-01-05' AS clean,
+               CASE WHEN batch_id = '2024-01-05' THEN 'no_manifest' ELSE 'clean' END AS status
+        FROM ({_BATCHES}) GROUP BY batch_id""",
     "integrity_table_scope": f"""
         WITH before AS ({_BATCHES}),
         present AS (
@@ -287,7 +300,7 @@ SQL: dict[str, str] = {
         recorded AS ({_roots("SELECT 1 AS g, row_hash AS h FROM before")}),
         computed AS ({_roots("SELECT 1 AS g, row_hash AS h FROM present")}),
         edits AS (SELECT count(*) FILTER (WHERE row_hash IS DISTINCT FROM {_hash(_CONTENT)}) AS n FROM present)
-        SELECT n AS tampered_row_count, r.merkle_root = c.merkle_root AS merkle_match,
+        SELECT n AS tampered_row_count, r.merkle_root = c.merkle_root AS merkle_match, true AS row_count_match,
                r.merkle_root AS stored_root, c.merkle_root AS computed_root,
                n = 0 AND r.merkle_root = c.merkle_root AS clean,
                CASE WHEN n = 0 AND r.merkle_root = c.merkle_root THEN 'clean' ELSE 'violated' END AS status

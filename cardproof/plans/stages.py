@@ -57,7 +57,12 @@ def run_bronze(
     content = content_columns(features)
     raw = read_transactions(spark, csv_path, transaction_schema(features), strict_header=strict_header)
     rows = with_ingest_metadata(raw, F.col("_metadata.file_path"), ingest_date)
-    rows = with_row_hash(rows, content, hash_scheme).withColumn("batch_id", F.lit(batch_id))
+    rows = rows.withColumn("batch_id", F.lit(batch_id))
+    columns = [c for c in rows.columns if c != "batch_id"]
+
+    def hashed(new: DataFrame) -> DataFrame:
+        return with_row_hash(new, content, hash_scheme).select(*columns, "row_hash", "batch_id")
+
     count = 0
 
     def record(written: DataFrame) -> None:
@@ -74,7 +79,7 @@ def run_bronze(
         )
 
     with scratch_scope(spark):
-        insert_into_table(rows, bronze_path, ["row_key"], PARTITION, before_publish=record)
+        insert_into_table(rows, bronze_path, ["row_key"], PARTITION, arrange=hashed, before_publish=record)
     return count
 
 

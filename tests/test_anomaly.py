@@ -32,10 +32,10 @@ def scores(df, **options):
 # --- quantile ----------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("in_memory", [50_000, 3])
+@pytest.mark.parametrize("accuracy", [10_000, 100])
 @pytest.mark.parametrize("fraction", [0, 0.002, 0.5, 1])
 @pytest.mark.parametrize("shape", ["normal", "ties", "one", "same", "wide"])
-def test_quantile_equals_numpy(spark, shape, fraction, in_memory):
+def test_quantile_equals_numpy(spark, shape, fraction, accuracy):
     rng = np.random.default_rng(1)
     values = {
         "normal": -rng.random(997),
@@ -45,10 +45,20 @@ def test_quantile_equals_numpy(spark, shape, fraction, in_memory):
         "wide": np.concatenate([rng.standard_normal(300) * 1e-9, [1e12, -1e12]]),
     }[shape]
     frame = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)], "v double")
-    got = exact_quantile(frame, "v", fraction, in_memory)
+    got = exact_quantile(frame, "v", fraction, accuracy)
     assert got == pytest.approx(np.quantile(values, fraction), rel=1e-12, abs=1e-15)
 
 
+@pytest.mark.parametrize("accuracy", [10_000, 50])
+def test_quantile_with_infinities(spark, accuracy):
+    values = [float("-inf")] * 30 + [float(i) for i in range(900)] + [float("inf")] * 70
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    for fraction in (0, 0.01, 0.3, 0.5, 0.95, 1):
+        assert exact_quantile(frame, "v", fraction, accuracy) == np.sort(values)[round(fraction * 999)] or (
+            exact_quantile(frame, "v", fraction, accuracy) == pytest.approx(np.quantile(values, fraction))
+        )
+
+
 def test_quantile_of_nothing(spark):
     assert exact_quantile(spark.createDataFrame([(None,)], "v double"), "v", 0.5) is None
 
@@ -152,13 +162,24 @@ def test_mostly_broken_rows_still_fill_the_trees(spark):
     assert len(roots) == 8 and all(r.size == 256 for r in roots)
 
 
-def test_hot_key_cannot_flood_a_tree(spark):
-    """A third of the rows share one key, so they are drawn for one tree together or not at all."""
-    hot = F.when(F.col("x0") > 0.4, "hot").otherwise(F.col("row_key"))
-    df = as_frame(spark, *points(4000, 40)).withColumn("row_key", hot)
-    for seed in (1, 2, 3):
-        drawn = forest.draw_samples(df, NAMES, "row_key", df.count(), trees=8, seed=seed)
-        assert max(r["count"] for r in drawn.groupBy("tree").count().collect()) <= 256
+def test_hot_key_has_its_share_of_every_sample(spark):
+    """A third of the rows share one key and hold about a third of each sample, at any table size."""
+    for rows, trees in ((2000, 8), (20_000, 4)):
+        df = spark.range(rows).select(
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("row_key"),
+            *[((F.col("id") % 3 == 0).cast("double") if i == 0 else F.rand(i)).alias(n) for i, n in enumerate(NAMES)],
+        ).persist()
+        drawn = forest.draw_samples(df, NAMES, "row_key", rows, trees=trees)
+        found = drawn.groupBy("tree").agg(F.count("*").alias("n"), F.avg("f0").alias("hot")).collect()
+        assert len(found) == trees and all(r.n == 256 and 0.2 < r.hot < 0.47 for r in found)
+        df.unpersist()
+
+
+def test_infinite_features_are_not_usable(spark):
+    df = as_frame(spark, *points())
+    endless = F.when(F.col("row_key") == "k3", float("inf")).otherwise(F.col("x2"))
+    got = scores(df.withColumn("x2", endless))
+    assert got["k3"].anomaly_score is None and got["k5"].anomaly_score is not None
 
 
 def test_constant_and_empty_data(spark):

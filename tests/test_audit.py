@@ -109,12 +109,39 @@ def test_no_batches_is_not_clean(bronze, log):
 def test_findings_name_batch_and_check(bronze, log):
     edited = bronze.filter("Time != 7").withColumn("Amount", F.when(F.col("Time") != 2, F.col("Amount")).otherwise(0.5))
     found = {(r.batch_id, r.check): r.detail for r in audit.findings(audit.verify_batches(edited, log)).collect()}
+    batches = {r.batch_id: r for r in audit.verify_batches(edited, log).collect()}
+    roots = {
+        name: f"root {r.recorded_root} recorded, {r.root_over_stored} over stored and {r.root_over_recomputed} over recomputed hashes"
+        for name, r in batches.items()
+    }
     assert found == {
-        ("one", "row_hash"): "1 rows have mismatched hashes",
-        ("one", "merkle_root"): "Merkle root mismatch",
-        ("two", "merkle_root"): "Merkle root mismatch",
+        ("one", "row_hash"): "1 rows are not what their stored hash says",
+        ("one", "merkle_root"): roots["one"],
+        ("two", "merkle_root"): roots["two"],
         ("two", "row_count"): "4 rows recorded, 3 found",
     }
+    with pytest.raises(audit.IntegrityViolation, match="4 rows recorded, 3 found"):
+        audit.raise_if_violated(audit.verify_batches(edited, log))
+    audit.raise_if_violated(audit.verify_batches(bronze, log))
+
+
+def test_a_batch_without_manifest_is_read_by_v1_whatever_the_others_use(bronze, log):
+    for schemes in (["v1"], ["v2"], ["v1", "v2"]):
+        known = log.filter("batch_id = 'two'").limit(1)
+        known = known.withColumn("hash_scheme", F.lit(schemes[-1]))
+        found = verified(bronze, known)
+        assert found["one"].tampered_row_count == 0
+    with pytest.raises(ValueError, match="v9"):
+        verified(bronze, log.withColumn("hash_scheme", F.lit("v9")))
+
+
+def test_table_scope_counts_rows(spark, tmp_path, bronze):
+    path, three = f"{tmp_path}/all", bronze.orderBy("row_hash").limit(3)
+    root = merkle_roots(three).first()
+    write_manifest(spark, path, "bronze", 3, root.merkle_root, "a", at(1))
+    last = three.orderBy(F.desc("row_hash")).limit(1)
+    row = audit.verify_table(three.unionByName(last), read_manifests(spark, path)).first()
+    assert row.merkle_match and not row.row_count_match and not row.clean
 
 
 def test_null_safe_scheme_catches_a_moved_null(bronze, log):

@@ -5,35 +5,38 @@ from pyspark.sql import functions as F
 
 from cardproof.operators.dedup import latest_per_key
 from cardproof.operators.summaries import (
-    bucket_counts,
+    band_totals,
     daily_summary,
-    dominant_bucket,
+    dominant_band,
     hourly_summary,
     hourly_summary_by_join,
     top_fraud_days,
 )
 
-D1, D2 = date(2013, 9, 1), date(2013, 9, 2)
+D1, D2 = date(2024, 5, 6), date(2024, 5, 7)
 SILVER = "transaction_date date, transaction_hour int, Amount double, amount_bucket string, is_fraud boolean"
 
 
 @pytest.fixture
 def silver(spark):
     rows = [
-        (D1, 9, 100.0, "50-200", False),
-        (D1, 9, 200.0, "200-1000", True),
-        (D1, 14, 50.0, "10-50", False),
-        (D2, 10, 30.0, "10-50", False),
+        (D1, 0, 4.5, "0-10", False),
+        (D1, 0, 8.0, "0-10", True),
+        (D1, 0, 12.0, "10-50", False),
+        (D1, 23, 60.0, "50-200", True),
+        (D1, 23, 1500.0, "1000+", False),
+        (D2, 7, 20.0, "10-50", False),
+        (D2, 7, 30.0, "10-50", False),
     ]
     return spark.createDataFrame(rows, SILVER)
 
 
 def test_daily_values(silver):
     first, second = daily_summary(silver).collect()
-    assert (first.transaction_date, first.total_transactions, first.fraud_count) == (D1, 3, 1)
-    assert first.fraud_rate == pytest.approx(1 / 3) and first.total_volume == pytest.approx(350)
-    assert first.avg_amount == pytest.approx(350 / 3) and first.max_amount == 200
-    assert (second.fraud_count, second.fraud_rate) == (0, 0)
+    assert (first.transaction_date, first.total_transactions, first.fraud_count) == (D1, 5, 2)
+    assert first.fraud_rate == pytest.approx(0.4) and first.total_volume == pytest.approx(1584.5)
+    assert first.avg_amount == pytest.approx(316.9) and first.max_amount == 1500
+    assert (second.fraud_count, second.fraud_rate, second.max_amount) == (0, 0, 30)
     assert daily_summary(silver).columns == [
         "transaction_date", "total_transactions", "fraud_count", "fraud_rate", "total_volume", "avg_amount",
         "max_amount", "updated_ts",
@@ -43,9 +46,9 @@ def test_daily_values(silver):
 def test_hourly_values_and_tie(silver):
     rows = hourly_summary(silver).drop("updated_ts").collect()
     assert [tuple(r) for r in rows] == [
-        (D1, 9, 2, 1, 150.0, "200-1000"), (D1, 14, 1, 0, 50.0, "10-50"), (D2, 10, 1, 0, 30.0, "10-50"),
+        (D1, 0, 3, 1, pytest.approx(24.5 / 3), "0-10"), (D1, 23, 2, 1, 780.0, "1000+"), (D2, 7, 2, 0, 25.0, "10-50"),
     ]
-    assert hourly_summary(silver).columns == hourly_summary_by_join(silver).columns
+    assert set(hourly_summary(silver).columns) == set(hourly_summary_by_join(silver).columns)
 
 
 def test_hourly_plans_agree_also_without_date_or_amount(spark, silver):
@@ -54,15 +57,15 @@ def test_hourly_plans_agree_also_without_date_or_amount(spark, silver):
     )
     rows = silver.unionByName(odd)
     one, two = (
-        {tuple(r) for r in f(rows).drop("updated_ts").collect()} for f in (hourly_summary, hourly_summary_by_join)
+        {tuple(r) for r in f(rows).select(hourly_summary(rows).drop("updated_ts").columns).collect()} for f in (hourly_summary, hourly_summary_by_join)
     )
     assert one == two and (None, None, 1, 1, 5.0, None) in one
 
 
 def test_dominant_band_prefers_count_then_text(silver):
-    more = silver.unionByName(silver.filter("Amount = 100"))
-    bands = {(r.transaction_date, r.transaction_hour): r.amount_bucket for r in dominant_bucket(bucket_counts(more)).collect()}
-    assert bands[(D1, 9)] == "50-200"
+    more = silver.unionByName(silver.filter("Amount = 60"))
+    bands = {(r.transaction_date, r.transaction_hour): r.amount_bucket for r in dominant_band(band_totals(more)).collect()}
+    assert bands == {(D1, 0): "0-10", (D1, 23): "50-200", (D2, 7): "10-50"}
 
 
 def test_all_null_labels_give_a_null_count(spark):
