@@ -31,25 +31,48 @@ ANCHORS = (
 _WORDS = r"[\p{L}\p{N}]+"
 
 
-def signatures(text: Column) -> Column:
-    """Sorted distinct hashes of the spot signatures of a text.
-
-    A text without any anchor and chain has one signature of all its words, or of the text itself if it has none, so
-    that different texts differ; null and empty texts have no signature.
+def _any_of(words: list[str]) -> str:
+    """A pattern for exactly these words that branches letter by letter."""
+    tree: dict = {}
+    for word in words:
+        node = tree
+        for char in word:
+            node = node.setdefault(char, {})
+        node[""] = {}
+
+    def pattern(node: dict) -> str:
+        parts = [char + pattern(child) for char, child in sorted(node.items()) if char]
+        if not parts:
+            return ""
+        joined = f"(?:{'|'.join(parts)})"
+        return f"{joined}?" if "" in node else joined
+
+    return pattern(tree)
+
+
+def with_signatures(rows: DataFrame, text: str, name: str) -> DataFrame:
+    """Adds the sorted distinct hashes of the spot signatures of a text.
+
+    Common words are marked once; chains are then read by the marks alone. A text without any anchor and chain
+    has one signature of all its words, or of the text itself if it has none, so that different texts differ; null and
+    empty texts have no signature.
     """
-    common = "|".join(sorted(set(ANCHORS), key=lambda w: (-len(w), w)))
-    plain = F.concat(F.lit(" "), F.array_join(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(_WORDS), F.lit(0)), " "), F.lit(" "))
-    other = f"(?: (?!(?:{common}) )[^ ]++)"
-    spots = F.regexp_extract_all(
-        plain, F.lit(f" (?=((?:{common})(?:(?: (?:{common})(?= ))*+{other}){{{CHAIN}}}) )"), F.lit(1)
-    )
-    bare = F.transform(
-        F.array_distinct(spots), lambda s: F.xxhash64(F.regexp_replace(s, f" (?:{common})(?= )", ""))
+    found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(_WORDS), F.lit(0))
+    mark = r"\x01"
+    plain = F.regexp_replace(
+        F.concat(F.lit(" "), F.array_join(found, " "), F.lit(" ")), f" (?=(?:{_any_of(ANCHORS)}) )", " \u0001"
     )
-    whole = F.when(F.length(text) > 0, F.array(F.xxhash64(F.when(plain != "  ", plain).otherwise(text)))).otherwise(
-        F.array().cast("array<bigint>")
+    chain = f" (?=({mark}[^ ]++(?:(?: {mark}[^ ]++)*+ [^ {mark}][^ ]*+){{{CHAIN}}}) )"
+    bare = F.transform("__spots", lambda s: F.xxhash64(F.regexp_replace(s, f" {mark}[^ ]+", "")))
+    whole = F.when(
+        F.length(text) > 0, F.array(F.xxhash64(F.when(F.col("__plain") != "  ", F.col("__plain")).otherwise(F.col(text))))
+    ).otherwise(F.array().cast("array<bigint>"))
+    return (
+        rows.withColumn("__plain", plain)
+        .withColumn("__spots", F.array_distinct(F.regexp_extract_all("__plain", F.lit(chain), F.lit(1))))
+        .withColumn(name, F.array_sort(F.array_distinct(F.when(F.size("__spots") > 0, bare).otherwise(whole))))
+        .drop("__plain", "__spots")
     )
-    return F.array_sort(F.array_distinct(F.when(F.size(spots) > 0, bare).otherwise(whole)))
 
 
 def fingerprint(hashes: Column) -> Column:
@@ -155,16 +178,15 @@ def edited_comparison(docs: DataFrame) -> DataFrame:
 
     The edited text has its last quarter (in code points, rounded down) replaced by as many of the next document's first, or all of them.
     """
-    own = docs.select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"), signatures(F.col("text")).alias("signatures")
-    )
+    own = with_signatures(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text", "signatures")
     rows = with_next(own, ["text", "signatures"])
     size = F.length("text")
     cut = F.floor(size / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), size - cut), F.substring("next_text", F.lit(1), cut))
     made = rows.select(
         "doc_id", size.cast("long").alias("n_chars"), "signatures", "next_signatures", edited.alias("edited")
-    ).withColumn("edited_signatures", signatures(F.col("edited")))
+    )
+    made = with_signatures(made, "edited", "edited_signatures")
     return made.select(
         "doc_id",
         "n_chars",
