@@ -93,20 +93,40 @@ def partition(size: Column, threshold: float = THRESHOLD) -> Column:
 
 
 def near_classes(prints: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Per row of ``doc_id, signatures``: ``doc_id, class_id``, the smallest id reachable through similar sets.
+    """Per row of ``doc_id, signatures``: ``doc_id, class_id``, the smallest id reachable through similar sets."""
+    named = set_classes(prints, threshold)
+    return with_class(prints.withColumn("set_key", set_key("signatures")), named).select("doc_id", "class_id")
+
+
+def set_key(signatures: str) -> Column:
+    """64-bit hash that stands for a set."""
+    return F.xxhash64(signatures)
+
+
+def with_class(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """Adds ``class_id`` by ``set_key``; a row with an empty set is in a class of its own."""
+    return rows.join(named, "set_key", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
+
+
+def set_classes(prints: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Per set of ``doc_id, signatures`` that is not empty: ``set_key, class_id``.
 
     Equal sets are one row. A set is indexed by its rarest signatures only, as many as a set that reaches the
     threshold cannot all miss, in its own length partition and the next, so sets whose lengths rule the threshold
-    out do not meet. Empty sets are in a class of their own, repeated ids in that of their sets.
+    out do not meet. Signatures of a single set lead to no other and are counted, but not ranked.
     """
-    rows = prints.withColumn("set_key", F.xxhash64("signatures"))
     sets = durable(
-        rows.filter(F.size("signatures") > 0).groupBy("set_key", "signatures").agg(F.min("doc_id").alias("rep"))
+        prints.filter(F.size("signatures") > 0)
+        .select(set_key("signatures").alias("rep"), "doc_id", "signatures")
+        .groupBy("rep")
+        .agg(F.min("doc_id").alias("doc_id"), F.first("signatures").alias("signatures"))
     )
     held = sets.select("rep", F.size("signatures").alias("n"), F.explode("signatures").alias("signature"))
-    frequency = held.groupBy("signature").agg(F.count("*").alias("sets"))
-    ranked = held.join(frequency, "signature").withColumn(
-        "turn", F.row_number().over(Window.partitionBy("rep").orderBy("sets", "signature"))
+    frequency = held.groupBy("signature").agg(F.count("*").alias("sets")).filter("sets > 1")
+    shared = held.join(frequency, "signature")
+    own = Window.partitionBy("rep")
+    ranked = shared.withColumn(
+        "turn", F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("sets", "signature"))
     )
     prefix = ranked.filter(F.col("turn") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1)
     part = partition(F.col("n"), threshold)
@@ -125,10 +145,11 @@ def near_classes(prints: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         )
 
     _, member = linked(members, confirmed)
-    named = sets.join(member.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "set_key", F.coalesce("component", "rep").alias("class_id")
+    placed = sets.select("rep", "doc_id").join(member.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "rep", "doc_id", F.coalesce("component", "rep").alias("component")
     )
-    return rows.join(named, "set_key", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    smallest = placed.groupBy("component").agg(F.min("doc_id").alias("class_id"))
+    return durable(placed.join(smallest, "component").select(F.col("rep").alias("set_key"), "class_id"))
 
 
 def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -174,7 +195,9 @@ def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def edited_comparison(docs: DataFrame) -> DataFrame:
-    """Per row: its fingerprint, that of its edited text, and how like they and the next text's are.
+    """Per row: its fingerprint, that of its edited text, how like they and the next text's are, and its class.
+
+    The class is the smallest id of all documents that are reached through similar fingerprints.
 
     The edited text has its last quarter (in code points, rounded down) replaced by as many of the next document's first, or all of them.
     """
@@ -186,8 +209,8 @@ def edited_comparison(docs: DataFrame) -> DataFrame:
     made = rows.select(
         "doc_id", size.cast("long").alias("n_chars"), "signatures", "next_signatures", edited.alias("edited")
     )
-    made = with_signatures(made, "edited", "edited_signatures")
-    return made.select(
+    made = with_signatures(made, "edited", "edited_signatures").withColumn("set_key", set_key("signatures"))
+    return with_class(made, set_classes(own.select("doc_id", "signatures"))).select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
@@ -196,4 +219,5 @@ def edited_comparison(docs: DataFrame) -> DataFrame:
         likeness(F.col("signatures"), F.col("edited_signatures")).alias("near_edited"),
         likeness(F.col("signatures"), F.col("next_signatures")).alias("near_next"),
         partition(F.size("signatures")).alias("length_partition"),
+        "class_id",
     )
