@@ -1,19 +1,22 @@
 """Isolation forest trained and scored on the executors.
 
-After Liu, Ting and Zhou, "Isolation Forest", ICDM 2008. Sampling is decided by a hash of the row key,
-so the forest does not depend on how the data is partitioned or how often a task runs. Each tree is
-built from at most 256 rows in its own task; the fitted forest is a table of at most
-``trees * 511`` nodes, which bounds what is broadcast for scoring.
+After Liu, Ting and Zhou, "Isolation Forest", ICDM 2008. SHA-256 over row key, features and seed decides which rows a
+tree sees, and SHA-256 over seed, tree and node how it splits them. The forest so depends neither on the partitioning
+nor on how often a task runs, and SQL can repeat it. The features travel as one array column: sampling, hashing and
+splitting take it whole, so the plan is as small for 64 features as for two. Each tree is built from at most 256 rows in
+its own task; the fitted forest is a table of at most ``trees * 511`` nodes, which bounds what is broadcast for scoring.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,17 +37,30 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # candidates drawn per tree, as a multiple of the sample size
 _OVERSAMPLING = 1.5
-_HASH_RANGE = 2**53
 _NODES = "tree int, node int, feature int, threshold double, size int, depth int"
+# path lengths are multiples of this, so their sums are exact in any order
+_PATH_UNIT = 2.0**-32
+_DRAW_DIGITS = 12
+
+
+def vector(features: Sequence[str]) -> Column:
+    """The features as one array of doubles."""
+    return F.array(*[F.col(c).cast("double") for c in features]).cast("array<double>")
 
 
 def usable(features: Sequence[str]) -> Column:
     """True where every feature is a finite number."""
-    ok = F.lit(True)
-    for name in features:
-        value = F.col(name).cast("double")
-        ok = ok & value.isNotNull() & ~F.isnan(value) & (F.abs(value) < F.lit(math.inf))
-    return ok
+    return _finite(vector(features))
+
+
+def _finite(x: Column) -> Column:
+    finite = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(math.inf))
+    return F.forall(x, finite)
+
+
+def _number(digest: Column, start: int, digits: int) -> Column:
+    """Hexadecimal digits of a digest, counted from 1, as a number."""
+    return F.conv(F.substring(digest, start, digits), 16, 10).cast("bigint")
 
 
 def draw_samples(
@@ -57,36 +73,36 @@ def draw_samples(
     max_samples: int = MAX_SAMPLES,
     oversampling: float = _OVERSAMPLING,
 ) -> DataFrame:
-    """At most ``max_samples`` rows per tree: ``tree`` and the features.
+    """At most ``max_samples`` rows per tree: ``tree``, ``key`` and the features as ``f0``, ``f1`` and so on.
 
     One rule for every table size. With ``p`` picks per row wanted, a row takes floor(p) trees, one more by
     chance frac(p), and never more than there are. Its trees follow from a hashed start in hashed steps that visit
-    every tree, so they differ. The hash covers key and features: rows of one key are drawn
-    independently, and a key with a third of the rows has about a third of every sample. The cut by rank runs before the
-    shuffle as well (Spark's group limit, up to 1,000 rows), so what is sent stays near 1.5 samples per tree.
+    every tree, so they differ. All three come from the digits of one SHA-256 over key, features and seed: rows of one
+    key are drawn independently, and a key with a third of the rows has about a third of every sample. A second one
+    orders the candidates of a tree. The cut by rank runs before the shuffle as well (Spark's group limit, up to 1,000
+    rows), so what is sent stays near 1.5 samples per tree. A null key counts as an empty text.
     """
     size = min(max_samples, rows)
-    names = [f"f{i}" for i in range(len(features))]
-    data = df.filter(usable(features)).select(
-        F.col(key).alias("_key"), *[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)]
-    )
     wanted = min(float(trees), oversampling * trees * size / max(rows, 1))
-    hashed = lambda salt: F.xxhash64("_key", *names, F.lit(seed), F.lit(salt))
-    extra = F.pmod(hashed(1), F.lit(_HASH_RANGE)) < F.lit(int((wanted - math.floor(wanted)) * _HASH_RANGE))
-    picks = F.lit(math.floor(wanted)) + extra.cast("int")
     strides = [n for n in range(1, trees + 1) if math.gcd(n, trees) == 1]
-    stride = F.element_at(F.lit(strides), (F.pmod(hashed(2), F.lit(len(strides))) + 1).cast("int"))
-    start = F.pmod(hashed(3), F.lit(trees))
+    as_text = F.array_join(F.transform("x", lambda v: v.cast("string")), ",")
+    digest = F.sha2(F.concat_ws("|", F.coalesce("key", F.lit("")), as_text, F.lit(str(seed))), 256)
+    chance = int((wanted - math.floor(wanted)) * 16**_DRAW_DIGITS)
+    extra = _number(F.col("_digest"), 1, _DRAW_DIGITS) < F.lit(chance)
+    stride = F.element_at(F.lit(strides), (_number(F.col("_digest"), 13, 8) % len(strides) + 1).cast("int"))
     drawn = (
-        data.withColumn("_picks", picks)
+        df.select(F.col(key).cast("string").alias("key"), vector(features).alias("x"))
+        .filter(_finite(F.col("x")))
+        .withColumn("_digest", digest)
+        .withColumn("_picks", F.lit(math.floor(wanted)) + extra.cast("int"))
         .filter("_picks > 0")
-        .withColumns({"_start": start, "_stride": stride})
+        .withColumns({"_start": _number(F.col("_digest"), 21, 8), "_stride": stride})
         .withColumn("_turn", F.explode(F.sequence(F.lit(0), F.col("_picks") - 1)))
-        .withColumn("tree", F.pmod(F.col("_start") + F.col("_turn") * F.col("_stride"), F.lit(trees)).cast("int"))
+        .withColumn("tree", ((F.col("_start") + F.col("_turn") * F.col("_stride")) % trees).cast("int"))
     )
-    order = Window.partitionBy("tree").orderBy(F.xxhash64("_key", *names, "tree", F.lit(seed + 2)), "_key", *names)
+    order = Window.partitionBy("tree").orderBy(F.sha2(F.concat_ws(":", "_digest", "tree"), 256), "key", "x")
     ranked = drawn.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= size)
-    return ranked.select("tree", *names)
+    return ranked.select("tree", "key", *[F.get("x", F.lit(i)).alias(f"f{i}") for i in range(len(features))])
 
 
 def fit_forest(
@@ -120,7 +136,7 @@ def _fit(df, features, key, rows, trees, seed, max_samples, oversampling) -> Dat
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
-        nodes = _grow_tree(pdf.drop(columns="tree").to_numpy(), np.random.default_rng([seed, tree]), height)
+        nodes = _grow_tree(pdf.drop(columns=["tree", "key"]).to_numpy(), f"{seed}:{tree}", height)
         return pd.DataFrame(
             [(tree, *node) for node in nodes],
             columns=["tree", "node", "feature", "threshold", "size", "depth"],
@@ -129,8 +145,12 @@ def _fit(df, features, key, rows, trees, seed, max_samples, oversampling) -> Dat
     return samples.groupBy("tree").applyInPandas(grow, _NODES)
 
 
-def _grow_tree(points: np.ndarray, rng: np.random.Generator, height: int) -> list[tuple]:
-    """Split at random until a node is isolated, constant or at the height limit."""
+def _grow_tree(points: np.ndarray, seed: str, height: int) -> list[tuple]:
+    """Split by chance until a node is isolated, constant or at the height limit.
+
+    The first 8 digits of SHA-256 over seed and node choose among the features that vary, the next 12 the threshold
+    between their extremes. The outcome does not depend on the order of the points.
+    """
     nodes, open_nodes = [], [(0, 0, points)]
     while open_nodes:
         node, depth, inside = open_nodes.pop()
@@ -139,10 +159,12 @@ def _grow_tree(points: np.ndarray, rng: np.random.Generator, height: int) -> lis
         if depth == height or len(varying) == 0:
             nodes.append((node, -1, None, len(inside), depth))
             continue
-        feature = int(rng.choice(varying))
-        threshold = float(rng.uniform(low[feature], high[feature]))
-        if threshold >= high[feature]:
-            threshold = float(low[feature])
+        digest = hashlib.sha256(f"{seed}:{node}".encode()).hexdigest()
+        feature = int(varying[int(digest[:8], 16) % len(varying)])
+        least, most = float(low[feature]), float(high[feature])
+        threshold = least + int(digest[8:20], 16) / 16**12 * (most - least)
+        if not threshold < most:
+            threshold = least
         nodes.append((node, feature, threshold, len(inside), depth))
         left = inside[:, feature] <= threshold
         open_nodes.append((2 * node + 2, depth + 1, inside[~left]))
@@ -151,9 +173,10 @@ def _grow_tree(points: np.ndarray, rng: np.random.Generator, height: int) -> lis
 
 
 def average_path(size) -> np.ndarray:
-    """Mean path length of an unsuccessful search among ``size`` points."""
+    """Mean path length of an unsuccessful search among ``size`` points, to a multiple of 2^-32."""
     n = np.maximum(np.asarray(size, dtype=float), 2)
     length = 2 * (np.log(np.maximum(n - 1, 1)) + EULER_GAMMA) - 2 * (n - 1) / n
+    length = np.floor(length / _PATH_UNIT + 0.5) * _PATH_UNIT
     return np.where(np.asarray(size) <= 1, 0.0, np.where(np.asarray(size) == 2, 1.0, length))
 
 
@@ -179,6 +202,41 @@ def with_raw_score(
     return df.withColumn(name, F.when(usable(features), score(*columns)))
 
 
+def with_raw_score_jvm(
+    df: DataFrame, nodes: DataFrame, features: Sequence[str] = MODEL_FEATURES, name: str = "raw_score"
+) -> DataFrame:
+    """The score of ``with_raw_score`` without Python workers, for clusters that run none.
+
+    The forest is packed into three arrays, which every row walks: an ``aggregate`` over the levels inside one over the
+    trees. They reach the tasks as the single value of a subquery. Spark interprets such functions, so this
+    is slower than Arrow batches (README, "Measured").
+    """
+    forest = nodes.toPandas()
+    if forest.empty:
+        return df.withColumn(name, F.lit(None).cast("double"))
+    feature, threshold, bottom, height, norm = _pack(forest)
+    inner = feature.shape[1]
+    arrays = {"feature": feature.astype(np.int32), "threshold": threshold, "bottom": bottom}
+    table = df.sparkSession.createDataFrame(pa.table({n: pa.array([a.ravel()]) for n, a in arrays.items()}))
+    packed = F.col("_forest")
+
+    def path(tree: Column, x: Column) -> Column:
+        def down(at: Column, _: Column) -> Column:
+            place = tree * inner + at
+            right = F.get(x, F.get(packed["feature"], place)) > F.get(packed["threshold"], place)
+            return at * 2 + 1 + right.cast("int")
+
+        at = F.aggregate(F.sequence(F.lit(1), F.lit(height)), F.lit(0), down) if height else F.lit(0)
+        return F.get(packed["bottom"], tree * 2**height + at - (2**height - 1))
+
+    total = lambda x: F.aggregate(
+        F.sequence(F.lit(0), F.lit(len(feature) - 1)), F.lit(0.0), lambda found, tree: found + path(tree, x)
+    )
+    scored = df.withColumns({"_x": vector(features), "_forest": table.select(F.struct("*")).scalar()})
+    score = -F.pow(F.lit(2.0), -total(F.col("_x")) / F.lit(float(len(feature))) / F.lit(norm))
+    return scored.withColumn(name, F.when(_finite(F.col("_x")), score)).drop("_x", "_forest")
+
+
 def _pack(forest: pd.DataFrame) -> tuple:
     """Forest as arrays over complete trees: feature, threshold, path length at the bottom, norm."""
     height = int(forest["depth"].max())

@@ -532,10 +532,56 @@ def model_features(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("Time", *names, forest.usable(names).alias("usable"))
 
 
+#: digits that scores are compared by
+_SCORE_DIGITS = 9
+
+
+def _scored_events(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "events").select(
+        "event_id", F.col("user_id").cast("double").alias("V1"), F.hour("ts").cast("double").alias("V2"), "value"
+    )
+
+
+_SCORED = ("V1", "V2", "value")
+
+
+@query
+def iforest_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows that each of 200 trees sees, over all 64 features of the vectors."""
+    rows, names = _vectors(spark, folder)
+    drawn = forest.draw_samples(rows, names, "row_key", rows.count())
+    return drawn.select("tree", F.col("key").alias("row_key"))
+
+
+@query
+def iforest_event_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """The same where most rows are drawn by no tree."""
+    rows = _scored_events(spark, folder)
+    drawn = forest.draw_samples(rows, _SCORED, "event_id", rows.count(), trees=20)
+    return drawn.select("tree", F.col("key").alias("event_id"), *[F.col(f"f{i}").alias(n) for i, n in enumerate(_SCORED)])
+
+
+@query
+def iforest_tree_shape(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of a forest over all events: what it splits, where, and how many rows it holds."""
+    nodes = forest.fit_forest(_scored_events(spark, folder), _SCORED, "event_id", trees=20)
+    return nodes.withColumn("threshold", F.round("threshold", 6))
+
+
+@query
+def iforest_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw scores of all events, walked in the JVM."""
+    rows = _scored_events(spark, folder)
+    nodes = forest.fit_forest(rows, _SCORED, "event_id", trees=20)
+    scored = forest.with_raw_score_jvm(rows, nodes, _SCORED)
+    return scored.select("event_id", F.round("raw_score", _SCORE_DIGITS).alias("raw_score"))
+
+
 @query
 def iforest_signals(spark: SparkSession, folder: str) -> DataFrame:
     rows, names = _vectors(spark, folder)
-    return forest.fraud_signals(rows, names, contamination=0.1)
+    signals = forest.fraud_signals(rows, names, contamination=0.1)
+    return signals.withColumn("anomaly_score", F.round("anomaly_score", _SCORE_DIGITS))
 
 
 @query

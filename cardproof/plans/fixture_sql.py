@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from cardproof.plans import forest_sql
+
 _TX = """
     SELECT CAST(date_diff('second', TIMESTAMP '2024-01-01', date_trunc('second', ts)) AS DOUBLE) AS "Time",
            CAST(user_id AS DOUBLE) AS "V1", CAST(event_id AS DOUBLE) AS "V2", value AS "Amount",
@@ -117,6 +119,12 @@ _ATTACKED = f"""
     FROM ({_BATCHES})
     WHERE CASE WHEN "V1" = 7 THEN "Amount" + 1 ELSE "Amount" END <= 400 AND batch_id <> '2024-01-20'"""
 
+_VECTORS = "SELECT CAST(vec_id AS VARCHAR) AS key, CAST(embedding AS DOUBLE[]) AS x FROM embeddings"
+_SCORED_EVENTS = """
+    SELECT CAST(event_id AS VARCHAR) AS key, [CAST(user_id AS DOUBLE), CAST(hour(ts) AS DOUBLE), value] AS x FROM events"""
+_KEYED_EVENTS = f"""
+    SELECT {_KEY} AS key, ["V1", "V2", "Amount"] AS x, "Class" = 1 AS is_fraud FROM ({_TX})"""
+
 _RECHECKED = f"SELECT *, {_hash(_CONTENT)} AS recomputed FROM ({_ATTACKED})"
 
 _VERIFIED = f"""
@@ -330,6 +338,33 @@ SQL: dict[str, str] = {
         SELECT "Time", "V1", "V2", "Amount",
                "V1" IS NOT NULL AND "V2" IS NOT NULL AND "Amount" IS NOT NULL AS usable
         FROM ({_GAPS})""",
+    "iforest_samples": f"WITH {forest_sql.samples(_VECTORS)} SELECT tree, key AS row_key FROM samples",
+    "iforest_event_samples": f"""
+        WITH {forest_sql.samples(_SCORED_EVENTS, 20)}
+        SELECT tree, key AS event_id, x[1] AS "V1", x[2] AS "V2", x[3] AS value FROM samples""",
+    "iforest_tree_shape": f"""
+        WITH RECURSIVE {forest_sql.nodes(_SCORED_EVENTS, 20)}
+        SELECT tree, node, feature, round(threshold, 6) AS threshold, size, depth FROM nodes""",
+    "iforest_scores": f"""
+        WITH RECURSIVE {forest_sql.scores(_SCORED_EVENTS, 20)}
+        SELECT CAST(key AS BIGINT) AS event_id, round(raw_score, 9) AS raw_score FROM scores""",
+    "iforest_signals": f"""
+        WITH RECURSIVE {forest_sql.signals(_VECTORS, 0.1)}
+        SELECT key AS row_key, round(anomaly_score, 9) AS anomaly_score, is_predicted_fraud,
+               label = 0 AS is_actual_fraud
+        FROM signals JOIN embeddings ON key = CAST(vec_id AS VARCHAR)""",
+    "iforest_events": f"""
+        WITH RECURSIVE {forest_sql.signals(_KEYED_EVENTS)},
+        c AS (
+            SELECT count(*) AS total_transactions, count(*) FILTER (WHERE is_predicted_fraud) AS flagged_as_anomaly,
+                   count(*) FILTER (WHERE is_fraud) AS actual_fraud_in_dataset,
+                   count(*) FILTER (WHERE is_fraud AND is_predicted_fraud) AS fraud_caught_by_model
+            FROM signals)
+        SELECT *, round(coalesce(fraud_caught_by_model / nullif(flagged_as_anomaly, 0), 0), 3) AS "precision",
+               round(coalesce(fraud_caught_by_model / nullif(actual_fraud_in_dataset, 0), 0), 3) AS recall,
+               round(coalesce(2 * fraud_caught_by_model
+                              / nullif(flagged_as_anomaly + actual_fraud_in_dataset, 0), 0), 3) AS f1
+        FROM c""",
     "iforest_counts": """
         SELECT count(*) AS scored, CAST(ceil(0.1 * (count(*) - 1)) AS BIGINT) AS flagged,
                count(*) FILTER (WHERE label = 0) AS actual, count(DISTINCT vec_id) AS keys

@@ -1,4 +1,5 @@
 import math
+import time
 
 import numpy as np
 import pytest
@@ -111,6 +112,45 @@ def test_scoring_equals_a_walk_down_each_tree(spark):
         assert got[f"k{i}"] == pytest.approx(-(2 ** (-np.mean(paths) / forest.average_path([256])[0])), rel=1e-12)
 
 
+def test_scores_of_the_jvm_equal_those_of_python(spark):
+    values, fraud = points(400, 20)
+    df = as_frame(spark, values, fraud).withColumn("x2", F.when(F.col("row_key") != "k4", F.col("x2")))
+    nodes = forest.fit_forest(df, NAMES, trees=7)
+    python = {r.row_key: r.raw_score for r in forest.with_raw_score(df, nodes, NAMES).collect()}
+    jvm = {r.row_key: r.raw_score for r in forest.with_raw_score_jvm(df, nodes, NAMES).collect()}
+    assert python.pop("k4") is None and jvm.pop("k4") is None
+    assert jvm == pytest.approx(python, rel=1e-12)
+    assert forest.with_raw_score_jvm(df, nodes.limit(0), NAMES).filter("raw_score is not null").isEmpty()
+
+
+def test_scores_of_the_jvm_on_constant_data(spark):
+    df = as_frame(spark, np.ones((300, len(NAMES))), np.zeros(300))
+    nodes = forest.fit_forest(df, NAMES, trees=3)
+    python, jvm = (
+        {r.raw_score for r in f(df, nodes, NAMES).collect()} for f in (forest.with_raw_score, forest.with_raw_score_jvm)
+    )
+    assert len(jvm) == 1 and jvm.pop() == pytest.approx(python.pop(), rel=1e-12)
+
+
+def test_wide_rows_are_planned_fast(spark):
+    names = [f"x{i}" for i in range(64)]
+    df = spark.range(1000).select(
+        F.col("id").cast("string").alias("row_key"), *[F.sin(F.col("id") * (i + 1)).alias(n) for i, n in enumerate(names)]
+    )
+    start = time.perf_counter()
+    drawn = forest.draw_samples(df, names, "row_key", 1000, trees=5)
+    drawn._jdf.queryExecution().executedPlan()
+    assert time.perf_counter() - start < 10
+    assert drawn.count() == 5 * 256
+
+
+def test_samples_hold_a_row_once_per_tree(spark):
+    df = as_frame(spark, *points(2000, 20)).withColumn("row_key", F.when(F.col("row_key") != "k4", F.col("row_key")))
+    drawn = forest.draw_samples(df, NAMES, "row_key", 2020, trees=6)
+    assert drawn.groupBy("tree", "key").count().filter("count > 1").isEmpty()
+    assert drawn.columns == ["tree", "key", *[f"f{i}" for i in range(6)]]
+
+
 def test_trees_are_well_formed(spark):
     values, fraud = points(600, 20)
     nodes = forest.fit_forest(as_frame(spark, values, fraud), NAMES, trees=10).collect()
