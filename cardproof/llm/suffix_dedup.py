@@ -391,8 +391,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
     if not crowded.isEmpty():
         windows = held.join(crowded, "gram").mapInArrow(_windows(length), "gram long, window long, key long, before int")
         windows = durable(windows)
-        twice = windows.groupBy("window").agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a <> b").select("window")
-        counted = windows.join(twice, "window").select("key", "before", (F.lit(length) - F.col("before")).alias("after"))
+        # equal windows hold the same anchor at the same place; the same window seen from two anchors is not a repeat
+        same = ["gram", "before", "window"]
+        twice = windows.groupBy(same).agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a <> b").select(same)
+        counted = windows.join(twice, same).select("key", "before", (F.lit(length) - F.col("before")).alias("after"))
         reach = reach.unionByName(counted)
     spans = (
         around.select("key", "text_key", "place")

@@ -126,6 +126,35 @@ def test_repeated_bytes_match_all_windows(spark, crowd):
     assert got == {i: (n, m, k, hashlib.sha256(rest).hexdigest()) for i, (n, m, k, rest) in enumerate(want)}
 
 
+def test_a_window_seen_from_two_anchors_is_no_repeat(spark):
+    """Windows that hold several anchors of crowded grams, in texts where nothing repeats and where some does."""
+    rng = random.Random(16)
+    parts = ["".join(rng.choice("ab") for _ in range(9)) for _ in range(6)]
+    texts = ["".join(rng.choice(parts) + rng.choice("xyz") for _ in range(12)) for _ in range(20)]
+    for crowd in (1, 3, 20_000):
+        got = removed(spark, texts, 40, gram=8, crowd=crowd)
+        assert got == {i: (n, m, k, hashlib.sha256(rest).hexdigest()) for i, (n, m, k, rest) in enumerate(brute.repeated_bytes(texts, 40))}
+
+
+def test_a_gram_above_the_limit(spark):
+    """One passage in more texts than are sorted in one place."""
+    passage = "the same words of a common notice that stands in every text of this table, again and again. " * 3
+    count = suffix_dedup.CROWD + 300
+    docs = spark.range(count).select(
+        F.col("id").alias("doc_id"),
+        F.concat(
+            F.sha2(F.col("id").cast("string"), 256), F.lit(passage), F.sha2((-F.col("id") - 1).cast("string"), 256)
+        ).alias("text"),
+    )
+    rows = suffix_dedup.remove_repeats(docs).groupBy("n_bytes", "n_spans").agg(
+        F.min("n_removed").alias("least"), F.max("n_removed").alias("most"), F.count("*").alias("n")
+    )
+    (found,) = rows.collect()
+    # a few neighbouring bytes of the digests agree by chance as well
+    assert found["n"] == count and found["n_spans"] == 1
+    assert len(passage) <= found["least"] <= found["most"] <= len(passage) + 16
+
+
 def test_repeated_bytes_of_an_empty_table(spark):
     assert removed(spark, [], 200) == {}
 
