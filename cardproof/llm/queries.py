@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardproof.llm import html_extract, hyperminhash, katz, line_dedup, mixing, secret_scan, spotsigs, string_kernel, suffix_dedup, winnowing
+from cardproof.llm import html_extract, hyperminhash, katz, line_dedup, mixing, prefix_trie, secret_scan, spotsigs, string_kernel, suffix_dedup, winnowing
 from cardproof.llm.sql import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +105,11 @@ def op1_katz_scores(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline

@@ -130,3 +130,29 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGI
   sha256(unhex(CASE WHEN per_row.row IS NULL THEN x ELSE kept || substr(x, 2 * tail + 1) END)) AS kept_sha256
 FROM texts LEFT JOIN per_row USING (row)
 """
+
+_CRC = """xor(list_reduce(list_concat([4294967295], list_transform(range(1, length(s) + 1), lambda i: CAST(ascii(substr(s, i, 1)) AS BIGINT))),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)),
+      lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295)"""
+SQL["op11_conversation_trie"] = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x, turn FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR) AS s,
+    list({{'k': md5(r || chr(0) || x), 'n': length(x)}} ORDER BY turn NULLS FIRST, r, x) AS turns FROM turns GROUP BY conv_id),
+headed AS (SELECT *, {_CRC} % 6 AS h FROM own),
+paths AS (
+  SELECT o.conv_id, list_concat(coalesce(b.turns[1:o.h], []), o.turns[o.h + 1:]) AS path
+  FROM headed o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100),
+members AS (SELECT conv_id, d, path[1:d] AS p, path, len(path) AS n FROM paths, unnest(range(0, len(path) + 1)) AS u(d)),
+nodes AS (
+  SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, count(DISTINCT path[d + 1].k) FILTER (n > d) AS n_children,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (d = n), '')) AS ends_sha256
+  FROM members GROUP BY p, d),
+below AS (
+  SELECT p[1:k] AS p, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * CASE WHEN d > 0 THEN p[d].n ELSE 0 END) AS saved
+  FROM nodes, unnest(range(0, d + 1)) AS u(k) GROUP BY p[1:k])
+SELECT nodes.conv_id, nodes.d AS depth, above.conv_id AS parent_conv_id, nodes.n_convs, nodes.n_children, n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, nodes.ends_sha256
+FROM nodes JOIN below ON below.p = nodes.p LEFT JOIN nodes above ON nodes.d > 0 AND above.p = nodes.p[1:nodes.d - 1]
+"""
