@@ -156,3 +156,21 @@ SELECT nodes.conv_id, nodes.d AS depth, above.conv_id AS parent_conv_id, nodes.n
   CAST(saved AS BIGINT) AS saved_tokens, nodes.ends_sha256
 FROM nodes JOIN below ON below.p = nodes.p LEFT JOIN nodes above ON nodes.d > 0 AND above.p = nodes.p[1:nodes.d - 1]
 """
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+SQL["op13_ranked_search"] = f"""
+WITH words AS (SELECT doc_id, unnest({_TERMS}) AS t FROM documents),
+lengths AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+corpus AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM lengths),
+counts AS (SELECT doc_id, t, count(*) AS tf FROM words GROUP BY doc_id, t),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counts, corpus GROUP BY t, big_n),
+norms AS (SELECT doc_id, 25 + (75 * n * big_n) // big_l AS m FROM lengths, corpus),
+asked AS (SELECT item_id, t, count(*) AS q FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark) GROUP BY item_id, t),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (t) JOIN counts USING (t) JOIN norms USING (doc_id) GROUP BY item_id, doc_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

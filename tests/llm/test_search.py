@@ -1,0 +1,140 @@
+"""Ranked search against scores of all documents."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from cardproof.llm import ranked_search
+
+DOCS, ITEMS = "doc_id long, text string", "item_id long, text string"
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain_terms(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def plain_search(docs, items, limit=10):
+    counts = [(i, Counter(plain_terms(t))) for i, t in docs]
+    with_terms = [(i, c) for i, c in counts if c]
+    n_docs, n_terms = len(with_terms), sum(c.total() for _, c in with_terms)
+    df = Counter(t for _, c in with_terms for t in c)
+    asked = {}
+    for item, text in set(items):
+        asked.setdefault(item, Counter()).update(plain_terms(text))
+    found = []
+    for item, terms in asked.items():
+        scored = []
+        for doc, c in with_terms:
+            m = 25 + (75 * c.total() * n_docs) // n_terms
+            weight = lambda t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+            score = sum(q * weight(t) * (1_000_000_000 * c[t] // (1000 * c[t] + 8 * m)) for t, q in terms.items() if t in c)
+            if score > 0:
+                scored.append((-score, doc is None, doc if doc is not None else 0, doc))
+        for rank, (score, _, _, doc) in enumerate(sorted(scored, key=lambda s: s[:3])[:limit], 1):
+            found.append((item, rank, doc, -score))
+    return sorted(found, key=str)
+
+
+def found(spark, docs, items, doc_schema=DOCS, item_schema=ITEMS, **options):
+    rows = ranked_search.search(spark.createDataFrame(docs, doc_schema), spark.createDataFrame(items, item_schema), **options)
+    assert rows.columns == ["item_id", "rank", "doc_id", "score"]
+    return sorted(map(tuple, rows.collect()), key=str)
+
+
+def corpus(rng, count, vocabulary=60, longest=40):
+    words = [f"w{i}" for i in range(vocabulary)] + ["Äh", "naïve", "日本", "X1"]
+    weights = [1 / (i + 1) for i in range(len(words))]
+    return [(i, " ".join(rng.choices(words, weights, k=rng.randrange(longest)))) for i in range(count)]
+
+
+@pytest.mark.parametrize("block_terms", [20_000, 15])
+def test_best_documents_match_all_scores(spark, block_terms):
+    rng = random.Random(3)
+    docs = corpus(rng, 300)
+    docs += [(1000 + i, docs[7][1]) for i in range(25)] + [(2000, None), (2001, ""), (2002, "!? -")]
+    items = [(i, t) for i, t in corpus(rng, 20, longest=12)] + [(50, None), (51, "nowhere"), (52, "w0 W0 w0, w3")]
+    assert found(spark, docs, items, block_terms=block_terms) == plain_search(docs, items)
+
+
+def test_trees_of_any_cut_find_the_same(monkeypatch):
+    rng = np.random.default_rng(4)
+    lengths = rng.integers(0, 9, 400)
+    lengths[lengths == 0] = 1
+    ranks = np.concatenate([np.sort(rng.choice(12, n, replace=False)) for n in lengths])
+    counts = rng.integers(1, 5, len(ranks))
+    norms = rng.integers(25, 400, 400)
+    edges = np.concatenate([[0], np.cumsum(lengths)])
+    for leaf in (1, 2, 7, 1000):
+        monkeypatch.setattr(ranked_search, "LEAF_DOCS", leaf)
+        tree = ranked_search.Tree(list(range(400)), norms, lengths, ranks, counts, 12)
+        for node, (low, high) in enumerate(tree.spans):
+            if tree.children[node] is not None:
+                parts = sorted(tree.spans[c] for c in tree.children[node])
+                assert parts[0][0] == low and parts[-1][1] == high and all(a[1] == b[0] for a, b in zip(parts, parts[1:]))
+        for _ in range(20):
+            asked = rng.choice(12, 4, replace=False)
+            weights = rng.integers(0, 900, 4)
+            scores = np.zeros(400, int)
+            for q, w in zip(asked, weights):
+                for d in range(400):
+                    at = np.flatnonzero(ranks[edges[d] : edges[d + 1]] == q)
+                    if len(at):
+                        c = int(counts[edges[d] + at[0]])
+                        scores[d] += w * (1_000_000_000 * c // (1000 * c + 8 * norms[d]))
+            want = sorted((-s, False, d) for d, s in enumerate(scores.tolist()) if s > 0)[:10]
+            assert tree.search(asked, weights, []) == want
+
+
+def test_bounds_leave_most_of_a_large_tree_out(monkeypatch):
+    """Documents about different things: an item reads the leaves of its own."""
+    rng = np.random.default_rng(6)
+    topics = rng.integers(0, 50, 4000)
+    ranks = np.concatenate([np.sort([t * 4, t * 4 + 1, t * 4 + 2, 200 + rng.integers(0, 20)]) for t in topics])
+    tree = ranked_search.Tree(list(range(4000)), np.full(4000, 100), np.full(4000, 4), ranks, np.ones(len(ranks), int), 220)
+    read = []
+    monkeypatch.setattr(ranked_search.np, "add", type("Add", (), {"at": lambda *a: (read.append(1), np_add_at(*a))[1]}))
+    tree.search(np.array([28, 29, 30, 205]), np.array([900, 900, 900, 300]), [])
+    assert 0 < len(read) < sum(c is None for c in tree.children) / 5
+
+
+np_add_at = np.add.at
+
+
+def test_ties_nulls_and_repeated_rows(spark):
+    docs = [(3, "a b"), (3, "a b"), (1, "b a"), (None, "a b"), (None, None), (9, "c " * 50), (7, "A,B")]
+    items = [(None, "a"), (1, "a b"), (1, "a b"), (2, "a"), (2, "c")]
+    assert found(spark, docs, items) == plain_search(docs, items)
+
+
+def test_more_equal_scores_than_places(spark):
+    docs = [(i, "same words here") for i in random.Random(1).sample(range(5000), 700)] + [(6000, "other")]
+    got = found(spark, docs, [(1, "same words"), (2, "other")])
+    assert got == plain_search(docs, [(1, "same words"), (2, "other")])
+    assert [g[2] for g in sorted(got, key=lambda g: g[1]) if g[0] == 1] == sorted(i for i, _ in docs)[:10]
+
+
+def test_text_ids_other_columns_and_long_texts(spark):
+    docs = [("x", "a " * 200_000 + "b", 1, "k"), ("ä", "b", 2, "l"), ("", "c", 3, None)]
+    items = [("i", "b", 0), ("j", "a", 1), ("", "b c", 2)]
+    got = found(spark, docs, items, "doc_id string, text string, rank int, score string", "item_id string, text string, item int")
+    assert got == plain_search([d[:2] for d in docs], [i[:2] for i in items])
+
+
+def test_empty_tables(spark):
+    some_docs, some_items = [(1, "a")], [(1, "a")]
+    assert found(spark, [], some_items) == found(spark, some_docs, []) == found(spark, [(1, None)], some_items) == []
+    assert found(spark, some_docs, [(1, ""), (2, None)]) == []
+
+
+def test_terms_keep_other_letters():
+    text = "Ab_c É-É x1 y\x7fz"
+    data = np.frombuffer((text + "q").encode(), np.uint8)
+    got, count = ranked_search.terms(data, np.array([0, len(text.encode()), len(data)]))
+    want = plain_terms(text)
+    assert count.tolist() == [len(want), 1] and len(set(got.tolist())) == len({*want, "q"})
