@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardproof.llm import html_extract, hyperminhash, katz, line_dedup, mixing, prefix_trie, ranked_search, secret_scan, spotsigs, string_kernel, suffix_dedup, winnowing
+from cardproof.llm import html_extract, hyperminhash, katz, line_dedup, line_quality, mixing, prefix_trie, ranked_search, secret_scan, spotsigs, string_kernel, suffix_dedup, winnowing
 from cardproof.llm.sql import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,6 +110,13 @@ def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.trie(table(spark, folder, "conversations"))
 
 
+@query
+def op12_line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = line_quality.train(docs, labels.filter(~line_quality.fold(F.col("doc_id"))))
+    return line_quality.judge(docs, model).select("doc_id", *line_quality.COUNTS, "base_failed", "kept", "content_share")
+
+
 @query
 def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
