@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Names and types of the stored columns.
 MANIFEST_SCHEMA = T.StructType(
     [
         T.StructField("batch_id", T.StringType(), False),
@@ -22,6 +23,25 @@ MANIFEST_SCHEMA = T.StructType(
 )
 
 
+#: the level table beside the log: leaves of each batch by ranges
+RANGE_SCHEMA = T.StructType(
+    [
+        T.StructField("batch_id", T.StringType(), False),
+        T.StructField("layer", T.StringType(), False),
+        T.StructField("range_chars", T.IntegerType(), False),
+        T.StructField("leaf_range", T.StringType(), False),
+        T.StructField("leaf_count", T.LongType(), False),
+        T.StructField("range_digest", T.StringType(), False),
+        T.StructField("recorded_at", T.TimestampType(), False),
+    ]
+)
+
+
+def ranges_path(path: str) -> str:
+    """Where the level table of a manifest log is."""
+    return f"{path.rstrip('/')}_ranges"
+
+
 def write_manifest(
     spark: SparkSession,
     path: str,
@@ -41,13 +61,27 @@ def write_manifest(
     return batch_id
 
 
+def write_ranges(ranges: DataFrame, path: str) -> None:
+    """Append the level table of a batch to that of the log at ``path``."""
+    ranges.select(RANGE_SCHEMA.names).write.mode("append").parquet(ranges_path(path))
+
+
 def read_manifests(spark: SparkSession, path: str) -> DataFrame:
     """All manifests; an empty frame where none was written yet. Other errors surface."""
+    return _read(spark, path, MANIFEST_SCHEMA)
+
+
+def read_ranges(spark: SparkSession, path: str) -> DataFrame:
+    """The level table of the log at ``path``, empty where none was written yet."""
+    return _read(spark, ranges_path(path), RANGE_SCHEMA)
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     try:
-        return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], MANIFEST_SCHEMA)
+            return spark.createDataFrame([], schema)
         raise
 
 

@@ -4,12 +4,12 @@ The rule: sort the leaves as text; while more than one node is left, repeat the
 level and replace each pair by the SHA-256 of the two texts joined. No leaves give ``''``, one leaf is
 its own root.
 
-Equal leaves are kept as one run (first index, length, value) from the start, so a value that fills a
-third of the table costs no more than any other. Leaves are ordered by ranges of their text: each range
-knows how many leaves come before it, so positions follow without a global sort. Then aligned blocks of
+Leaves are ordered by ranges of their text: each range knows how many leaves come before it, so positions follow without
+a global sort, and the leaves themselves are read and shuffled once. Then aligned blocks of
 2^10 leaves are folded to one node each, and again, until one node is left. An aligned block starts at
 an even index on each of its inner levels and only the last block can be short, so the block rule for an
-odd level is the tree rule.
+odd level is the tree rule. Where a range is crowded, equal leaves become one run (first index, length, value), so a value that
+fills a third of the table costs no more than any other, and the range is cut at longer texts if that is not enough.
 """
 
 from __future__ import annotations
@@ -23,12 +23,15 @@ from cardproof.sources.durable import durable
 
 # a block is folded inside one row: 2^10 nodes, about 100 kB
 BLOCK_BITS = 10
-# leading characters that name a range of leaves: few for short leaf sets, so that most blocks lie in one
-# range, more where a range would hold too many distinct leaves for one task
-RANGE_CHARS = 3
-RANGE_STEP = 2
-RANGE_TARGET = 32_000
+# leaves per range that are aimed at, with the shortest text that names a range from the number of leaves
+RANGE_TARGET = 16_000
+# leaves of one task, up to a number of tasks
+TASK_LEAVES = 32_000
+MOST_TASKS = 50_000
+# rows of one range above which its equal leaves are counted first; different leaves above which it is cut
 RANGE_LIMIT = 4_000_000
+# leading characters of a range's name by which ranges are summed before they are put in order
+_COARSE = 3
 
 _GROUP = "_group"
 
@@ -38,15 +41,26 @@ def merkle_roots(
     leaf: str = "row_hash",
     by: Sequence[str] = (),
     range_limit: int = RANGE_LIMIT,
+    store: bool = False,
 ) -> DataFrame:
     """One row per group with ``leaf_count`` and ``merkle_root``; a null leaf counts as ``''``.
 
-    Without ``by`` there is exactly one row, also for an empty frame.
+    Without ``by`` there is exactly one row, also for an empty frame. The groups and leaves are looked at three times: for the size
+    of the groups, for the counts of the ranges, and for the leaves. ``store`` writes them to the scratch folder first, for
+    leaves that are computed rather than read.
     """
     group = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
     texts = leaves.select(group.alias(_GROUP), F.coalesce(F.col(leaf), F.lit("")).alias("h"))
-    range_of, counts, largest = _ranges(texts, range_limit)
-    runs = _fold(_runs(texts, range_of, counts), inside_range=True)
+    if store:
+        texts = durable(texts)
+    largest, total = texts.groupBy(_GROUP).count().agg(F.coalesce(F.max("count"), F.lit(0)), F.coalesce(F.sum("count"), F.lit(0))).first()
+    placed, ranges = _ranges(texts, range_length(largest), range_limit)
+    # folding costs more than its bytes say, so the number of tasks follows the leaves
+    tasks = min(total // TASK_LEAVES, MOST_TASKS)
+    if tasks > 1:
+        # a single group is a constant, which Spark leaves out of what it groups by
+        placed = placed.repartition(tasks, *([_GROUP] if by else []), "r")
+    runs = _fold(_runs(placed, ranges), inside_range=True)
     passes = -(-max(largest - 1, 0).bit_length() // BLOCK_BITS)
     for _ in range(passes - 1):
         runs = _fold(runs)
@@ -58,60 +72,75 @@ def merkle_roots(
     )
 
 
-def merkle_root(leaves: DataFrame, leaf: str = "row_hash") -> DataFrame:
+def merkle_root(leaves: DataFrame, leaf: str = "row_hash", store: bool = False) -> DataFrame:
     """The root over all rows, as a one-row frame."""
-    return merkle_roots(leaves, leaf)
+    return merkle_roots(leaves, leaf, store=store)
 
 
-def _ranges(texts: DataFrame, limit: int) -> tuple[Column, DataFrame, int]:
-    """Name of a leaf's range, the number of leaves per group and range, and of the largest group.
+def range_length(leaves: int, target: int = RANGE_TARGET) -> int:
+    """Hexadecimal characters that name ranges of at most ``target`` leaves on average."""
+    length = 1
+    while leaves >= target * 16**length:
+        length += 1
+    return length
 
-    A range is a text prefix. SHA-256 leaves spread evenly over prefixes; where many different leaves
-    share one (a huge table, or hashes somebody edited), that prefix is lengthened until none is crowded.
-    Copies of one leaf do not crowd a range, they are a single run. The driver sees crowded prefixes
-    only, at most one per ``limit`` leaves.
+
+def _ranges(texts: DataFrame, length: int, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Leaves as ``r`` (range), ``h`` and ``c`` (copies), and the number of leaves per group and range.
+
+    A range is a text prefix. SHA-256 leaves spread evenly over prefixes. Where many rows share one (a leaf with many copies, or hashes
+    somebody edited), its leaves are counted first, by an aggregation that Spark combines before the shuffle; a range that still holds
+    too many different leaves gets prefixes of twice the length, until none does. The ranges concerned are a frame that is
+    joined; the driver learns whether there are any.
     """
-    counts = _leaves_per_range(texts, F.substring("h", 1, RANGE_CHARS))
-    largest = counts.groupBy(_GROUP).agg(F.sum("c").alias("n")).agg(F.max("n")).first()[0] or 0
-    length = RANGE_CHARS
-    while length > 1 and largest < RANGE_TARGET * 16**length:
-        length -= 1
-    name = F.substring("h", 1, length)
-    counts = counts.groupBy(_GROUP, F.substring("r", 1, length).alias("r")).agg(F.sum("c").alias("c"))
+    named = texts.withColumn("r", F.substring("h", 1, length))
+    counts = durable(named.groupBy(_GROUP, "r").agg(F.count(F.lit(1)).alias("c")))
+    one = named.select(_GROUP, "r", "h", F.lit(1).cast("bigint").alias("c"))
+    crowded = counts.filter(F.col("c") > limit).select(_GROUP, "r")
+    if crowded.isEmpty():
+        return one, counts
+    crowded = durable(crowded)
+    many = durable(one.join(crowded, [_GROUP, "r"], "left_semi").groupBy(_GROUP, "r", "h").agg(F.sum("c").alias("c")))
+    rest = many
+    done = []
     while True:
-        full = counts.filter((F.col("c") > limit) & (F.length("r") == length)).select("r").distinct()
-        suspects = [row.r for row in full.collect()] if largest > limit else []
-        if not suspects:
-            return name, counts, largest
-        spread = texts.filter(name.isin(suspects)).groupBy(_GROUP, name.alias("r"))
-        crowded = spread.agg(F.approx_count_distinct("h").alias("d")).filter(F.col("d") > limit)
-        prefixes = [row.r for row in crowded.select("r").distinct().collect()]
-        if not prefixes:
-            return name, counts, largest
-        length += RANGE_STEP
-        name = F.when(name.isin(prefixes), F.substring("h", 1, length)).otherwise(name)
-        counts = _leaves_per_range(texts, name)
-
-
-def _leaves_per_range(texts: DataFrame, name: Column) -> DataFrame:
-    return durable(texts.groupBy(_GROUP, name.alias("r")).agg(F.count(F.lit(1)).alias("c")))
-
-
-def _runs(texts: DataFrame, range_of: Column, counts: DataFrame) -> DataFrame:
-    """Runs of equal leaves with their first index ``s`` in the sorted order of the group."""
-    in_group = Window.partitionBy(_GROUP).orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = counts.select(
-        _GROUP,
-        "r",
-        F.coalesce(F.sum("c").over(in_group), F.lit(0)).alias("before"),
-        F.sum("c").over(Window.partitionBy(_GROUP)).alias("total"),
-    )
-    in_range = (
-        Window.partitionBy(_GROUP, "r").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+        cut = durable(rest.groupBy(_GROUP, "r").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select(_GROUP, "r"))
+        if cut.isEmpty():
+            break
+        length *= 2
+        done.append(rest.join(cut, [_GROUP, "r"], "left_anti"))
+        rest = durable(rest.join(cut, [_GROUP, "r"], "left_semi").withColumn("r", F.substring("h", 1, length)))
+    for part in done:
+        rest = rest.unionByName(part)
+    columns = [_GROUP, "r", "h", "c"]
+    few = one.join(crowded, [_GROUP, "r"], "left_anti")
+    renamed = rest.groupBy(_GROUP, "r").agg(F.sum("c").alias("c"))
+    counts = durable(counts.join(crowded, [_GROUP, "r"], "left_anti").unionByName(renamed))
+    return few.select(columns).unionByName(rest.select(columns)), counts
+
+
+def _runs(placed: DataFrame, counts: DataFrame) -> DataFrame:
+    """Runs of equal leaves with their first index ``s`` in the sorted order of the group.
+
+    Ranges are put in order in two steps, of their first characters and within these, so no task sees all ranges.
+    """
+    before = lambda *keys: Window.partitionBy(_GROUP, *keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    nothing = F.lit(0).cast("bigint")
+    fine = counts.withColumn("coarse", F.substring("r", 1, _COARSE))
+    coarse = (
+        fine.groupBy(_GROUP, "coarse")
+        .agg(F.sum("c").alias("n"))
+        .select(
+            _GROUP,
+            "coarse",
+            F.coalesce(F.sum("n").over(before("coarse")), nothing).alias("begin"),
+            F.sum("n").over(Window.partitionBy(_GROUP)).alias("total"),
+        )
     )
-    distinct = texts.groupBy(_GROUP, range_of.alias("r"), "h").agg(F.count(F.lit(1)).alias("c"))
-    placed = distinct.withColumn("i", F.coalesce(F.sum("c").over(in_range), F.lit(0)))
-    return placed.join(ranges, [_GROUP, "r"]).select(
+    ranges = fine.withColumn("before", F.coalesce(F.sum("c").over(before("coarse", "r")), nothing)).join(coarse, [_GROUP, "coarse"])
+    ranges = ranges.select(_GROUP, "r", (F.col("begin") + F.col("before")).alias("before"), "total")
+    inside = placed.withColumn("i", F.coalesce(F.sum("c").over(before("r", "h")), nothing))
+    return inside.join(ranges, [_GROUP, "r"]).select(
         _GROUP, "r", (F.col("before") + F.col("i")).alias("s"), "c", "h", "total", F.col("total").alias("n")
     )
 

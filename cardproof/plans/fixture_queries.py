@@ -442,6 +442,27 @@ def integrity_findings(spark: SparkSession, folder: str) -> DataFrame:
     return audit.findings(_verified(spark, folder))
 
 
+@query
+def integrity_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranges of leaves that differ after edited amounts, removed hashes, lost rows, a lost batch and added rows."""
+    rows = _hashed_batches(spark, folder)
+    chars = F.lit(1)
+    recorded = audit._ranged(rows.select("batch_id", "row_hash", chars.alias("range_chars")), "row_hash").select(
+        "*", F.lit("bronze").alias("layer"), F.lit(RUN_TIME).alias("recorded_at")
+    )
+    log = merkle_roots(rows, "row_hash", ["batch_id"]).select(
+        "batch_id",
+        F.lit("bronze").alias("layer"),
+        F.col("leaf_count").alias("row_count"),
+        "merkle_root",
+        F.lit(RUN_TIME).alias("recorded_at"),
+        F.lit("v1").alias("hash_scheme"),
+    )
+    attacked = _attacked(spark, folder)
+    attacked = attacked.unionByName(attacked.filter("V1 = 13"))
+    return audit.changed_ranges(attacked, recorded, log, "bronze", CONTENT)
+
+
 @query
 def integrity_mixed_schemes(spark: SparkSession, folder: str) -> DataFrame:
     """Batches of both hash schemes and one without a manifest, each checked by its own scheme."""

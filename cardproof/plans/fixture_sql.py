@@ -125,6 +125,14 @@ _SCORED_EVENTS = """
 _KEYED_EVENTS = f"""
     SELECT {_KEY} AS key, ["V1", "V2", "Amount"] AS x, "Class" = 1 AS is_fraud FROM ({_TX})"""
 
+def _ranged(leaves: str) -> str:
+    """Leaves (batch_id, h) counted and summed by their first character."""
+    digits = lambda start: f"sum(CAST('0x' || substr(sha256(h), {start}, 15) AS HUGEINT))"
+    return f"""
+    SELECT batch_id, substr(h, 1, 1) AS leaf_range, count(*) AS leaf_count, {digits(1)} || ':' || {digits(16)} AS digest
+    FROM ({leaves}) GROUP BY ALL"""
+
+
 _RECHECKED = f"SELECT *, {_hash(_CONTENT)} AS recomputed FROM ({_ATTACKED})"
 
 _VERIFIED = f"""
@@ -296,6 +304,18 @@ SQL: dict[str, str] = {
         FROM v WHERE recorded_root IS NOT NULL AND NOT row_count_match
         UNION ALL SELECT batch_id, 'manifest', 'no manifest for this batch' FROM v
         WHERE recorded_root IS NULL""",
+    "integrity_ranges": f"""
+        WITH found AS (
+            SELECT batch_id, {_hash(_CONTENT)} AS h FROM ({_ATTACKED})
+            UNION ALL SELECT batch_id, {_hash(_CONTENT)} FROM ({_ATTACKED}) WHERE "V1" = 13),
+        was AS ({_ranged(f"SELECT batch_id, row_hash AS h FROM ({_BATCHES})")}),
+        now AS ({_ranged("SELECT * FROM found")})
+        SELECT coalesce(was.batch_id, now.batch_id) AS batch_id, coalesce(was.leaf_range, now.leaf_range) AS leaf_range,
+               coalesce(was.leaf_count, 0) AS recorded_leaf_count, coalesce(now.leaf_count, 0) AS leaf_count,
+               CASE WHEN was.leaf_count IS NULL THEN 'added' WHEN now.leaf_count IS NULL THEN 'removed'
+                    WHEN now.leaf_count = was.leaf_count THEN 'edited' ELSE 'resized' END AS change
+        FROM was FULL JOIN now ON was.batch_id = now.batch_id AND was.leaf_range = now.leaf_range
+        WHERE was.digest IS DISTINCT FROM now.digest OR was.leaf_count IS DISTINCT FROM now.leaf_count""",
     "integrity_mixed_schemes": f"""
         SELECT batch_id, count(*) AS row_count, CAST(0 AS BIGINT) AS tampered_row_count,
                batch_id <> '2024-01-05' AS merkle_match, batch_id <> '2024-01-05' AS clean,

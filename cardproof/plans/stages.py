@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from cardproof.functions.columns import enrich, with_ingest_metadata, with_row_hash
 from cardproof.functions.schema import FEATURES, TIME_ORIGIN, content_columns, transaction_schema
-from cardproof.operators.audit import verdict, verify_batches, verify_table
+from cardproof.operators.audit import changed_ranges, leaf_ranges, verdict, verify_batches, verify_table
 from cardproof.operators.dedup import latest_per_key
 from cardproof.operators.evaluation import evaluation
 from cardproof.operators.forest import CONTAMINATION, SEED, TREES, fraud_signals
 from cardproof.operators.layout import cluster_rows
-from cardproof.operators.manifests import read_manifests, write_manifest
+from cardproof.operators.manifests import read_manifests, read_ranges, write_manifest, write_ranges
 from cardproof.operators.merge import insert_into_table, upsert_table
 from cardproof.operators.merkle import merkle_root
 from cardproof.operators.summaries import (
@@ -74,6 +74,7 @@ def run_bronze(
             count = written.count()
         root = merkle_root(batch, "row_hash").first()
         count = count if again else root.leaf_count
+        write_ranges(leaf_ranges(batch, batch_id, root.leaf_count), audit_path)
         write_manifest(
             spark, audit_path, "bronze", root.leaf_count, root.merkle_root, batch_id, hash_scheme=hash_scheme
         )
@@ -187,3 +188,15 @@ def verify_bronze_batches(
     """The verdict of each batch, stored once; ``findings`` lists what is wrong with it."""
     bronze, manifests = snapshots.read_table(spark, bronze_path), read_manifests(spark, audit_path)
     return durable(verify_batches(bronze, manifests, "bronze", content_columns(features)))
+
+
+def changed_bronze_ranges(
+    spark: SparkSession,
+    bronze_path: str,
+    audit_path: str,
+    features: Sequence[str] = FEATURES,
+) -> DataFrame:
+    """The ranges of leaves in which batches differ from what was recorded, stored once: where to look after a failed check."""
+    bronze, manifests = snapshots.read_table(spark, bronze_path), read_manifests(spark, audit_path)
+    recorded = read_ranges(spark, audit_path)
+    return durable(changed_ranges(bronze, recorded, manifests, "bronze", content_columns(features)))

@@ -9,7 +9,9 @@ from cardproof.operators.manifests import (
     latest_manifest,
     manifest_per_batch,
     read_manifests,
+    read_ranges,
     write_manifest,
+    write_ranges,
 )
 from cardproof.operators.merkle import merkle_roots
 from tests.rows import frame
@@ -190,3 +192,71 @@ def test_unreadable_log_surfaces(spark, tmp_path):
     (tmp_path / "log" / "part-0.parquet").write_text("not parquet")
     with pytest.raises(Exception):
         latest_manifest(spark, f"{tmp_path}/log", "bronze")
+
+
+# --- where a batch differs ---------------------------------------------------------------------
+
+
+@pytest.fixture
+def many(spark):
+    rows = frame(spark, *[(float(i), 10.0 + i, i % 2) for i in range(400)])
+    return with_row_hash(rows).withColumn("batch_id", F.when(F.col("Time") < 300, "one").otherwise("two"))
+
+
+def changed(spark, tmp_path, before, after, skip=()):
+    path = f"{tmp_path}/log"
+    for r in merkle_roots(before, "row_hash", ["batch_id"]).collect():
+        write_manifest(spark, path, "bronze", r.leaf_count, r.merkle_root, r.batch_id, at(1))
+        if r.batch_id not in skip:
+            batch = before.filter(F.col("batch_id") == r.batch_id)
+            write_ranges(audit.leaf_ranges(batch, r.batch_id, 400 * 1024), path)
+    found = audit.changed_ranges(after, read_ranges(spark, path), read_manifests(spark, path))
+    return {(r.batch_id, r.leaf_range): (r.recorded_leaf_count, r.leaf_count, r.change) for r in found.collect()}
+
+
+def range_sizes(df):
+    leaves = df.select("batch_id", F.substring("row_hash", 1, 3).alias("r")).groupBy("batch_id", "r").count().collect()
+    return {(r.batch_id, r.r): r["count"] for r in leaves}
+
+
+def test_untouched_batches_have_no_changed_range(spark, tmp_path, many):
+    assert changed(spark, tmp_path, many, many.repartition(5)) == {}
+
+
+def test_an_edit_shows_in_the_ranges_of_both_hashes(spark, tmp_path, many):
+    edited = many.withColumn("Amount", F.when(F.col("Time") == 7, 5.5).otherwise(F.col("Amount")))
+    old = many.filter("Time = 7").first().row_hash[:3]
+    new = with_row_hash(edited).filter("Time = 7").first().row_hash[:3]
+    size = range_sizes(many)
+    found = changed(spark, tmp_path, many, edited)
+    assert set(found) == {("one", old), ("one", new)}
+    assert found["one", old][:2] == (size["one", old], size["one", old] - 1)
+    assert found["one", new][1] == size.get(("one", new), 0) + 1
+
+
+def test_deleted_added_and_copied_rows_show_in_their_ranges(spark, tmp_path, many):
+    gone, twice = (many.filter(f"Time = {t}").first().row_hash[:3] for t in (3, 310))
+    after = many.filter("Time <> 3").unionByName(many.filter("Time = 310"))
+    found = changed(spark, tmp_path, many, after)
+    assert set(found) == {("one", gone), ("two", twice)}
+    assert found["one", gone][2] in ("removed", "resized") and found["two", twice][2] == "resized"
+
+
+def test_a_removed_hash_leaves_the_content_in_its_range(spark, tmp_path, many):
+    """The range is that of the recomputed hash, which is the recorded one."""
+    assert changed(spark, tmp_path, many, many.withColumn("row_hash", F.lit(None).cast("string"))) == {}
+
+
+def test_lost_and_unrecorded_batches(spark, tmp_path, many):
+    found = changed(spark, tmp_path, many, many.filter("batch_id = 'one' AND Time > 0"), skip=("one",))
+    assert {b for b, _ in found} == {"two"} and all(f[2] == "removed" for f in found.values())
+
+
+def test_ranges_recorded_again_replace_the_first(spark, tmp_path, many):
+    one = many.filter("batch_id = 'one'")
+    path = f"{tmp_path}/log"
+    write_ranges(audit.leaf_ranges(one.filter("Time < 9"), "one", 9, recorded_at=at(1)), path)
+    write_ranges(audit.leaf_ranges(one, "one", 300, recorded_at=at(2)), path)
+    write_manifest(spark, path, "bronze", 300, "x", "one", at(2))
+    assert audit.changed_ranges(one, read_ranges(spark, path), read_manifests(spark, path)).isEmpty()
+    assert read_ranges(spark, f"{tmp_path}/none").isEmpty()

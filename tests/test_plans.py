@@ -86,6 +86,40 @@ def test_merkle_reads_only_the_hash(bronze):
     assert "SinglePartition" not in plan
 
 
+def test_merkle_shuffles_leaves_once(spark, bronze, tmp_path):
+    """What is above the leaves' exchange moves folded blocks and the counts of ranges only."""
+    bronze.select("row_hash", "batch_id").write.parquet(f"{tmp_path}/leaves")
+    leaves = spark.read.parquet(f"{tmp_path}/leaves")
+    for by in ([], ["batch_id"]):
+        plan = merkle_roots(leaves, "row_hash", by)._jdf.queryExecution().executedPlan().toString()
+        scan = next(i for i, line in enumerate(plan.split("\n")) if "FileScan" in line and "/leaves]" in line)
+        path, depth = [], None
+        for line in reversed(plan.split("\n")[: scan + 1]):
+            indent = len(line) - len(line.lstrip(" :+-"))
+            if depth is None or indent < depth:
+                path.append(line)
+                depth = indent
+        kinds = [re.search(r"(Exchange hashpartitioning|Window|ObjectHashAggregate|Generate inline)", line) for line in path]
+        order = [k[1] for k in kinds if k]
+        assert order[0] == "Exchange hashpartitioning"
+        assert order[1:3] == ["Window", "Generate inline"]
+        # the first aggregation folds blocks inside their range, before anything moves again
+        assert order[3:5] == ["ObjectHashAggregate", "ObjectHashAggregate"]
+
+
+def test_audit_scans_the_table_once(spark, bronze, tmp_path):
+    """Counts and both trees come from the stored hashes."""
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("audit", "")
+    edited = bronze.withColumn("Amount", F.when(F.col("Time") == 7, 5.5).otherwise(F.col("Amount")))
+    log = spark.createDataFrame([], "batch_id string, layer string, row_count long, merkle_root string, recorded_at timestamp, hash_scheme string")
+    found = audit.verify_batches(edited, log)
+    plan = static_plan(found)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs.getJobIdsForGroup("audit")
+    assert not any({"Amount", "Time"} & columns for columns in read_columns(plan))
+
+
 def test_row_check_has_no_shuffle(bronze):
     assert "Exchange" not in static_plan(audit.tampered_rows(bronze))
 
