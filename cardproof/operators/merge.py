@@ -73,9 +73,13 @@ def insert_into_table(
     partition_by: Sequence[str] = (),
     arrange: Arrange | None = None,
     before_publish: Callable[[DataFrame], None] | None = None,
+    within: Sequence[str] = (),
 ) -> snapshots.Snapshot:
     """Insert-only merge into a table, created if absent (M1). Existing files are not touched.
 
+    With ``within``, a key counts as present only where these columns are equal too: the same key on another load date is
+    inserted. Where they are partition columns, only partitions that the source has rows for are read.
+
     The source is evaluated once; ``arrange`` is applied to the rows that are inserted, so columns that only those need
     belong there.
     ``before_publish`` is given the staged rows as read back from storage.
@@ -83,13 +87,24 @@ def insert_into_table(
     spark = source.sparkSession
     base = snapshots.current(spark, path)
     partition_by = base.partition_by if base else partition_by
-    rows = source if base is None else absent_rows(durable(source), snapshots.read(spark, base), keys)
+    rows = source
+    if base is not None:
+        rows = durable(source)
+        pruning = [c for c in within if c in partition_by]
+        parts = _parts_of(rows, base, pruning) if pruning else None
+        rows = absent_rows(rows, snapshots.read(spark, base, parts), [*keys, *within])
     staged = snapshots.stage(arrange(rows) if arrange else rows, path, partition_by)
     if before_publish:
         before_publish(snapshots.read(spark, staged))
     return snapshots.publish(spark, base, staged, keep=base.parts if base else ())
 
 
+def _parts_of(rows: DataFrame, base: snapshots.Snapshot, columns: Sequence[str]) -> list[str]:
+    """Parts of the base with values of these partition columns that the rows have; one value per partition reaches the driver."""
+    wanted = {c: [r[0] for r in rows.select(F.col(c).cast("string")).distinct().collect()] for c in columns}
+    return snapshots.select_parts(base, **wanted)
+
+
 def upsert_table(
     source: DataFrame,
     path: str,
@@ -109,7 +124,7 @@ def upsert_table(
     partition_by = base.partition_by if base else partition_by
     staged = snapshots.stage(arrange(source) if arrange else source, path, partition_by)
     incoming = snapshots.read(spark, staged)
-    count = incoming.count()
+    count = staged.rows
     if base is None:
         snapshots.publish(spark, None, staged)
         return count

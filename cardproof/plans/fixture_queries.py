@@ -245,6 +245,18 @@ def insert_only_merge(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(snapshots.read_table(spark, path), "o_totalprice", digits=2)
 
 
+@query
+def insert_within(spark: SparkSession, folder: str) -> DataFrame:
+    """A key is known only within its partition: orders that changed their status are inserted, the others are not."""
+    path = new_scratch_path(spark, "table")
+    orders = table(spark, folder, "orders")
+    merge.insert_into_table(orders, path, ["o_orderkey"], ["o_orderstatus"])
+    moved = F.when(F.col("o_orderstatus") == "P", "F").otherwise(F.col("o_orderstatus"))
+    source = orders.filter("o_orderstatus <> 'O'").withColumns({"o_orderstatus": moved, "o_totalprice": F.col("o_totalprice") + 1})
+    merge.insert_into_table(source, path, ["o_orderkey"], within=["o_orderstatus"])
+    return _rounded(snapshots.read_table(spark, path), "o_totalprice", digits=2)
+
+
 @query
 def insert_null_keys(spark: SparkSession, folder: str) -> DataFrame:
     """A null key matches nothing, so it is inserted again."""

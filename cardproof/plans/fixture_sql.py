@@ -233,6 +233,11 @@ SQL: dict[str, str] = {
             SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'P') s
         WHERE NOT EXISTS (
             SELECT 1 FROM orders t WHERE t.o_orderstatus = 'F' AND t.o_orderkey = s.o_orderkey)""",
+    "insert_within": """
+        SELECT * REPLACE (round(o_totalprice, 2) AS o_totalprice) FROM orders
+        UNION ALL
+        SELECT * REPLACE ('F' AS o_orderstatus, round(o_totalprice + 1, 2) AS o_totalprice) FROM orders
+        WHERE o_orderstatus = 'P'""",
     "insert_null_keys": """
         WITH t AS (
             SELECT * REPLACE (CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderkey END AS o_orderkey)

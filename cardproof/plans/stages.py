@@ -96,9 +96,8 @@ def run_silver(
     ``ingest_dates`` limits the run to some load dates. Bronze never loads a key twice, so those dates
     hold all rows of their keys and the result is the same as that of a full run.
     """
-    bronze = snapshots.read_table(spark, bronze_path)
-    if ingest_dates is not None:
-        bronze = bronze.filter(F.col("ingest_date").isin(list(ingest_dates)))
+    wanted = {} if ingest_dates is None else {"ingest_date": list(ingest_dates)}
+    bronze = snapshots.read_table(spark, bronze_path, **wanted)
     newest = [F.desc("ingest_ts"), F.asc("row_hash"), F.asc("ingest_date"), F.asc("source_file")]
     silver = enrich(latest_per_key(bronze, order=newest), origin)
     with scratch_scope(spark):

@@ -15,15 +15,13 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LOAD = "_load"
 _POINTERS = "_snapshots"
-_POINTER_SCHEMA = (
-    "version bigint, parts array<string>, partition_by array<string>, table_schema string"
-)
+_POINTER_SCHEMA = "parts array<string>, partition_by array<string>, table_schema string"
 _PLAIN_VALUE = re.compile(r"[A-Za-z0-9_.-]+")
 
 
@@ -46,21 +44,26 @@ class Staged:
     parts: tuple[str, ...]
     partition_by: tuple[str, ...]
     schema: T.StructType
+    rows: int
 
 
 def current(spark: SparkSession, path: str) -> Snapshot | None:
-    """The published snapshot, or None where no table exists; any other failure surfaces."""
-    try:
-        rows = spark.read.schema(_POINTER_SCHEMA).json(f"{path}/{_POINTERS}")
-        row = rows.orderBy(F.desc("version")).first()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    if row is None:
+    """The published snapshot, or None where no table exists; any other failure surfaces.
+
+    One listing names the versions, and only the newest pointer that is complete is read.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_POINTERS}")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
         return None
-    schema = T.StructType.fromJson(json.loads(row.table_schema))
-    return Snapshot(path, row.version, tuple(row.parts), tuple(row.partition_by), schema)
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    versions = sorted((int(n.removeprefix("version=")) for n in names if n.startswith("version=")), reverse=True)
+    for version in versions:
+        row = spark.read.schema(_POINTER_SCHEMA).json(f"{path}/{_POINTERS}/version={version}").first()
+        if row is not None:
+            schema = T.StructType.fromJson(json.loads(row.table_schema))
+            return Snapshot(path, version, tuple(row.parts), tuple(row.partition_by), schema)
+    return None
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -68,15 +71,17 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Staged:
-    """Write the frame, evaluated once, to a folder of its own."""
+    """Write the frame, evaluated once, to a folder of its own. The rows are counted by the tasks that write them."""
     folder = f"{LOAD}={uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).mode("errorifexists").parquet(f"{path}/{folder}")
+    written_rows = Observation()
+    counted = df.observe(written_rows, F.count(F.lit(1)).alias("rows"))
+    counted.write.partitionBy(*partition_by).mode("errorifexists").parquet(f"{path}/{folder}")
     parts = [folder]
     if partition_by:
         written = df.sparkSession.read.schema(df.schema).parquet(f"{path}/{folder}")
         values = written.select(*[F.col(c).cast("string") for c in partition_by]).distinct().collect()
         parts = [_partition_folder(folder, partition_by, row) for row in values]
-    return Staged(path, tuple(sorted(parts)), tuple(partition_by), df.schema)
+    return Staged(path, tuple(sorted(parts)), tuple(partition_by), df.schema, written_rows.get.get("rows", 0))
 
 
 def publish(spark: SparkSession, base: Snapshot | None, *staged: Staged, keep: Sequence[str] = ()) -> Snapshot:
@@ -124,12 +129,21 @@ def part_of_row(partition_by: Sequence[str]):
     return F.concat_ws("/", *names)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Scan the published snapshot."""
+def select_parts(snapshot: Snapshot, **wanted: Sequence[str]) -> list[str]:
+    """The parts whose partition values are among those wanted, by their names alone."""
+    unknown = sorted(set(wanted) - set(snapshot.partition_by))
+    if unknown:
+        raise ValueError(f"{unknown} are not partition columns of {snapshot.path}")
+    names = {c: {f"{c}={v}" for v in values} for c, values in wanted.items()}
+    return [p for p in snapshot.parts if all(names[c] & set(p.split("/")) for c in wanted)]
+
+
+def read_table(spark: SparkSession, path: str, **wanted: Sequence[str]) -> DataFrame:
+    """Scan the published snapshot (S2), or the parts with the wanted partition values; others are not even listed."""
     snapshot = current(spark, path)
     if snapshot is None:
         raise FileNotFoundError(f"no table at {path}")
-    return read(spark, snapshot)
+    return read(spark, snapshot, select_parts(snapshot, **wanted) if wanted else None)
 
 
 def create_or_replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Snapshot:

@@ -5,8 +5,9 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cardproof.operators import merge
+from cardproof.operators import layout, merge
 from cardproof.operators.layout import cluster_rows
 from cardproof.sources import snapshots
 from tests.plans import final_plan
@@ -232,3 +233,67 @@ def test_cluster_rows_cuts_a_hot_date(spark, conf):
     )
     sizes = cluster_rows(hot).groupBy(F.spark_partition_id()).count().collect()
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < 10_000
+
+
+def test_parts_are_chosen_by_name_before_anything_is_listed(spark, tmp_path):
+    """A thousand parts, of which one is there: reading the others would fail."""
+    path = f"{tmp_path}/t"
+    spark.range(5).select("id", F.lit("2024-01-07").alias("day")).write.partitionBy("day").parquet(f"{path}/_load=a")
+    parts = [f"_load=a/day=2024-01-07", *[f"_load=a/day=2020-{m:02}-{d:02}" for m in range(1, 13) for d in range(1, 84)]]
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("day", T.StringType())])
+    snapshots.publish(spark, None, snapshots.Staged(path, tuple(parts), ("day",), schema, 5))
+    assert len(snapshots.current(spark, path).parts) > 990
+    assert snapshots.read_table(spark, path, day=["2024-01-07", "1999-01-01"]).count() == 5
+    assert snapshots.read_table(spark, path, day=["1999-01-01"]).count() == 0
+    with pytest.raises(ValueError, match="not partition columns"):
+        snapshots.read_table(spark, path, id=["1"])
+
+
+def test_only_the_newest_complete_pointer_counts(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    assert snapshots.current(spark, path) is None
+    for n in (3, 4):
+        snapshots.create_or_replace(spark.range(n), path)
+    (tmp_path / "t" / "_snapshots" / "version=3").mkdir()
+    assert snapshots.current(spark, path).version == 2 and snapshots.read_table(spark, path).count() == 4
+
+
+def test_staged_rows_are_counted_by_the_write(spark, tmp_path):
+    frame = spark.range(1000, numPartitions=7).withColumn("k", F.col("id") % 3)
+    assert snapshots.stage(frame, f"{tmp_path}/a", ["k"]).rows == 1000
+    assert snapshots.stage(frame.filter("id < 0"), f"{tmp_path}/b").rows == 0
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("first load", "")
+    assert merge.upsert_table(frame, f"{tmp_path}/c", ["id"]) == 1000
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup("first load")) <= 2  # the rows and the pointer
+
+
+def test_insert_within_reads_the_partitions_of_the_source_only(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    rows = spark.range(20).select("id", F.concat(F.lit("d"), F.col("id") % 4).alias("day"))
+    merge.insert_into_table(rows, path, ["id"], ["day"])
+    load = next(p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("_load="))
+    (tmp_path / "t" / load / "day=d3").rename(tmp_path / "away")  # would fail if it were read
+    again = rows.filter("day <> 'd3'").withColumn("day", F.when(F.col("id") == 0, "d1").otherwise(F.col("day")))
+    merge.insert_into_table(again, path, ["id"], within=["day"])
+    (tmp_path / "away").rename(tmp_path / "t" / load / "day=d3")
+    found = snapshots.read_table(spark, path)
+    assert found.count() == 21 and found.filter("id = 0").select("day").distinct().count() == 2
+
+
+def test_ranges_follow_the_size(spark, tmp_path):
+    assert layout.range_count(None, 8) is None and layout.range_count(1 << 30, 8) is None
+    assert layout.range_count(100 << 30, 8) == 800 and layout.range_count(1000 << 30, 8) == 8000
+    rows = spark.range(200_000).select(
+        F.col("id").cast("string").alias("row_key"), F.lit("a").alias("ingest_date"), F.date_add(F.lit("2024-01-01"), (F.col("id") % 30).cast("int")).alias("transaction_date")
+    )
+    rows.write.parquet(f"{tmp_path}/rows")
+    stored = spark.read.parquet(f"{tmp_path}/rows")
+    size = layout.input_bytes(stored)
+    clustered = layout.cluster_rows(stored, file_bytes=size // 10)
+    clustered.write.parquet(f"{tmp_path}/clustered")
+    read = spark.read.parquet(f"{tmp_path}/clustered")
+    assert 9 <= len(read.inputFiles()) <= 12
+    files = layout.files_per_value(read, "transaction_date")
+    assert files.agg(F.max("files")).first()[0] <= 2 and files.count() == 30
