@@ -72,7 +72,7 @@ def document_copies(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPE
 def mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
     """The documents of the mix, each repeated as often as drawn, with the number of the ``copy``.
 
-    Columns of ``docs`` stay as they are, whatever their names.
+    Columns of ``docs`` stay as they are, but for one named ``copy``, which the number replaces.
     """
     sizes = durable(docs.select("source", word_count(F.col("text")).alias("size")))
     targets = durable(source_targets(sizes, "source", weights, max_repeat)).select(
@@ -84,5 +84,5 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: st
         docs.join(targets, docs["source"].eqNullSafe(targets["__source"]))
         .withColumn("__copies", drawn.cast("int"))
         .filter("__copies > 0")
-        .select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("copy"))
+        .select(*(docs[c] for c in docs.columns if c.lower() != "copy"), F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("copy"))
     )

@@ -9,6 +9,7 @@ document. Every document is then judged by its strongest units.
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -63,7 +64,7 @@ def units(token: str) -> list[str]:
         last -= 1
     token = token[first:last]
     if len(token) <= UNIT:
-        return [EDGE + token] if len(token) >= ORDER else []
+        return [EDGE + token] if len(EDGE + token) >= ORDER else []
     return [EDGE * (at == 0) + token[at : at + UNIT] for at in range(0, len(token) - UNIT // 2, UNIT // 2)]
 
 
@@ -152,18 +153,41 @@ def shares_subsequence(codes: np.ndarray, other: np.ndarray) -> np.ndarray:
     return np.bitwise_count(within) >= ORDER
 
 
+#: a bit for each letter code; rare letters share some, code 0 has none
+_BITS = np.uint64(1) << np.array([0, *range(27), *(27 + c % 37 for c in range(28, 256))], np.uint64)
+_BITS[0] = 0
+
+
+def letters(codes: np.ndarray) -> np.ndarray:
+    """The letters of each row as bits."""
+    found = np.zeros(len(codes), np.uint64)
+    for i in range(codes.shape[1]):
+        found |= _BITS[codes[:, i]]
+    return found
+
+
+def enough_letters(found: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """False where the mark has fewer than ``ORDER`` places whose letter is among those found: no subsequence is that long."""
+    bits, times = np.unique(_BITS[mark[mark > 0]], return_counts=True)
+    places = np.zeros(len(found), np.uint8)
+    for least in range(1, min(ORDER, int(times.max(initial=0))) + 1):
+        places += np.bitwise_count(found & np.bitwise_or.reduce(bits[times >= least]))
+    return places >= ORDER
+
+
 def features(strings: list[str], landmarks: list[str]) -> np.ndarray:
     """Normalised kernels of the strings with the landmarks, one row per string."""
     out = np.zeros((len(strings), len(landmarks)), np.float32)
     if not strings:
         return out
     codes, length = encode(strings)
+    found = letters(codes)
     marks, sizes = encode(landmarks)
     own_marks = own_kernel(marks, sizes)
     for j in range(len(landmarks)):
         mark = marks[j, : sizes[j]]
         near = np.zeros(len(strings), bool)
-        for rows, width in _by_length(length, np.arange(len(strings)), 65536):
+        for rows, width in _by_length(length, np.flatnonzero(enough_letters(found, mark)), 65536):
             near[rows] = shares_subsequence(codes[rows, :width], mark)
         for rows, width in _by_length(length, np.flatnonzero(near)):
             out[rows, j] = kernel(codes[rows, :width], mark)
@@ -310,34 +334,77 @@ def _sentence_machine(kernels: np.ndarray, between: np.ndarray, parts: list, lab
     return root @ w[:-1]
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list[tuple[str, int]]:
-    """Labelled texts to train on: the first ``rows`` in the order of a hash of their id.
+def chosen(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> DataFrame:
+    """Labelled texts to train on (``spot, doc_id, text, toxic``): those of the first ``rows`` documents in the order of a hash of their id.
 
-    The bound is on the training set only; texts over ``chars`` characters are not trained on.
+    The bound is on the training set only; texts over ``chars`` characters are not trained on. Labels are joined before the cut, so
+    those without such a text use up none of it.
     """
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * rows)
     text = docs.filter(F.col("text").isNotNull() & (F.length("text") <= chars)).select("doc_id", "text")
-    picked = text.join(F.broadcast(known), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows)
-    return [(r["text"], int(r["toxic"] > 0)) for r in picked.select("text", "toxic").collect()]
+    spot = F.xxhash64("doc_id").alias("spot")
+    first = text.select("doc_id").join(known, "doc_id").distinct().orderBy(spot, "doc_id").limit(rows)
+    return text.join(F.broadcast(first), "doc_id").select(spot, "doc_id", "text", (F.col("toxic") > 0).cast("int").alias("toxic"))
+
+
+def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list[tuple[str, int]]:
+    """The texts and labels of ``chosen``, at most ``rows``, on the driver."""
+    picked = chosen(docs, labels, rows, chars).orderBy("spot", "doc_id", "text").limit(rows)
+    return [(r["text"], r["toxic"]) for r in picked.select("text", "toxic").collect()]
+
+
+def _training(rows: int):
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        taken: list[tuple[str, int]] = []
+        for batch in batches:
+            taken += list(zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()))[: rows - len(taken)]
+        model = train(taken)
+        parts = (model.landmarks, model.weights.tolist(), model.calibration.tolist())
+        yield pa.RecordBatch.from_arrays([pa.array([json.dumps(parts)])], names=["model"])
+
+    return fit
+
+
+def train_on(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Model:
+    """Fit on a sample of labelled documents, in one task; the driver gets the landmarks and weights."""
+    texts = chosen(docs, labels, rows, chars).repartition(1).sortWithinPartitions("spot", "doc_id", "text").select("text", "toxic")
+    fitted = [json.loads(r["model"]) for r in texts.mapInArrow(_training(rows), "model string").collect()]
+    if not fitted:
+        return train([])
+    landmarks, weights, calibration = fitted[0]
+    return Model(landmarks, np.array(weights), np.array(calibration))
+
+
+# scores of tokens by model, kept in a worker from task to task
+_caches: dict[str, dict[str, float]] = {}
+
+
+def token_scores(model: Model, wanted: set[str]) -> dict[str, float]:
+    """Scores of tokens, at least of those wanted; at most ``CACHE`` are kept, of one model."""
+    name = repr((model.landmarks, model.weights.tolist()))
+    if name not in _caches:
+        _caches.clear()
+        _caches[name] = {}
+    cache = _caches[name]
+    new = wanted.difference(cache)
+    if len(cache) + len(new) > CACHE:
+        cache.clear()
+        new = wanted
+    split = {t: units(t) for t in new}
+    parts = sorted({u for us in split.values() for u in us})
+    score = dict(zip(parts, model.unit_scores(parts).tolist()))
+    cache.update((t, max((score[u] for u in us), default=0.0)) for t, us in split.items())
+    return cache
 
 
 def _scoring(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, float] = {}
+        size = 256
         for batch in batches:
-            size = 256
             for at in range(0, batch.num_rows, size):
                 column = batch.column("text").slice(at, size)
                 found = [tokens(x.as_py() or "") for x in column]
-                new = set().union(*found).difference(cache)
-                if len(cache) + len(new) > CACHE:
-                    cache.clear()
-                    new = set().union(*found)
-                split = {t: units(t) for t in new}
-                parts = sorted({u for us in split.values() for u in us})
-                score = dict(zip(parts, model.unit_scores(parts).tolist()))
-                cache.update((t, max((score[u] for u in us), default=0.0)) for t, us in split.items())
+                cache = token_scores(model, set().union(*found))
                 strongest = np.array([_strongest(map(cache.__getitem__, f)) for f in found]).reshape(-1, STRONGEST)
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c).slice(at, size) for c in batch.schema.names), pa.array(model.probability(strongest))],

@@ -20,7 +20,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
-    model = string_kernel.train(string_kernel.sample(docs, labels.filter(~held_out)))
+    model = string_kernel.train_on(docs, labels.filter(~held_out))
     return string_kernel.reject(docs, model)
 
 

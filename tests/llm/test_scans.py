@@ -156,3 +156,9 @@ def test_pages_without_article():
     page = f"<div class=top><a href=1>One</a> <a href=2>Two</a> <a href=3>Three</a></div><div class=content><p>{text}</p><p>Brief.</p></div>"
     assert html_extract.main_text(page) == f"{text.strip()}\nBrief."
     assert html_extract.main_text("<![if x]>text <p>more") != ""
+
+
+def test_a_copy_column_is_replaced_by_the_number(spark):
+    docs = spark.createDataFrame([(i, "one two three", "s", 7) for i in range(30)], "doc_id long, text string, source string, copy int")
+    drawn = mixing.mix(docs)
+    assert drawn.columns == ["doc_id", "text", "source", "copy"] and drawn.filter("copy < 1 OR copy > 3").isEmpty()

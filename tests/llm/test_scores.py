@@ -145,3 +145,42 @@ def test_training_without_labels_or_classes():
     for rows in ([], [("a text", 0)], [("some words", 1), ("some words", 0)]):
         scores = string_kernel.train(rows).probability(string_kernel.np.zeros((1, string_kernel.STRONGEST)))
         assert 0 < scores[0] < 1
+
+
+def test_few_common_letters_mean_no_common_subsequence():
+    rng = random.Random(12)
+    strings = ["".join(rng.choice("abcdeéß^-1") for _ in range(rng.randrange(1, 14))) for _ in range(400)]
+    marks = ["aaaa", "abcd", "^aab", "éßéß", "abab-1c"]
+    codes, length = string_kernel.encode(strings)
+    marked, sizes = string_kernel.encode(marks)
+    found = string_kernel.letters(codes)
+    for j in range(len(marks)):
+        mark = marked[j, : sizes[j]]
+        enough = string_kernel.enough_letters(found, mark)
+        shares = string_kernel.shares_subsequence(codes, mark)
+        assert not (shares & ~enough).any() and shares.any() and not enough.all()
+
+
+def test_short_words_are_units():
+    assert string_kernel.units("git,") == [string_kernel.EDGE + "git"] and string_kernel.units("it") == []
+
+
+def test_labels_without_a_text_use_up_no_places(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(20)] + [(30, None), (31, "x" * 50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)] + [(None, 1)], "doc_id long, toxic int")
+    taken = string_kernel.sample(docs, labels, rows=15, chars=40)
+    assert len(taken) == 15 and len(string_kernel.sample(docs, labels, rows=99, chars=40)) == 20
+    assert all(y == int(t.split()[1]) % 2 for t, y in taken)
+
+
+def test_training_in_a_task_gives_the_same_model(spark):
+    rng = random.Random(13)
+    words = ["stone", "river", "light", "table", "paper"]
+    rows = [(i, " ".join(rng.choices(words, k=8)) + (" moronic idiot. " if i % 3 == 0 else ". "), int(i % 3 == 0)) for i in range(90)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    one, other = string_kernel.train(string_kernel.sample(docs, labels)), string_kernel.train_on(docs.repartition(4), labels)
+    assert one.landmarks == other.landmarks and one.landmarks
+    assert (one.weights == other.weights).all() and (one.calibration == other.calibration).all()
+    none = string_kernel.train_on(docs, labels.limit(0))
+    assert not none.landmarks
