@@ -77,14 +77,13 @@ def main() -> None:
             latest_per_key(line_items, fixture_queries.LINE_KEY, [F.desc("l_shipdate"), "l_partkey"])
         ),
         "row_hash": lambda: run(hashed),
-        "merkle_root": lambda: run(merkle_root(hashed)),
+        "merkle_root": lambda: run(merkle_root(hashed, store=True)),
         "upsert_tenth": lambda: merge.upsert_table(changed, f"{root}/orders", ["o_orderkey"]),
         "tampered_rows": lambda: run(audit.tampered_rows(snapshots.read_table(spark, bronze))),
         "forest_fit": lambda: run(
             forest.fit_forest(snapshots.read_table(spark, silver), MODEL_FEATURES)
         ),
         "forest_score": lambda: run(forest.with_raw_score(event_rows, event_forest(), event_names)),
-        "forest_score_jvm": lambda: run(forest.with_raw_score_jvm(event_rows, event_forest(), event_names)),
     }
     seconds, failed = {}, {}
     for name, step in steps.items():
