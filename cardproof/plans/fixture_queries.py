@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardproof.functions.columns import (
@@ -109,6 +109,36 @@ def ingest_metadata(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("V2", "ingest_date", "source_file", "pipeline_version", "row_key")
 
 
+def _time_text(name: str):
+    return F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name)
+
+
+@query
+def ingest_times(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row bears the one load time of its run, and the load date that follows from it."""
+    rows = with_ingest_metadata(transactions(spark, folder), "events", ingest_ts=RUN_TIME)
+    return rows.select("V2", "ingest_date", _time_text("ingest_ts"))
+
+
+@query
+def summary_times(spark: SparkSession, folder: str) -> DataFrame:
+    """The update time of both summaries."""
+    rows = silver(spark, folder)
+    daily, hourly = summaries.daily_summary(rows, RUN_TIME), summaries.hourly_summary(rows, RUN_TIME)
+    hour = F.lit(None).cast("int").alias("transaction_hour")
+    return daily.select("transaction_date", hour, _time_text("updated_ts")).unionByName(
+        hourly.select("transaction_date", "transaction_hour", _time_text("updated_ts"))
+    )
+
+
+@query
+def hourly_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of each row in the order in which the hourly summary comes."""
+    rows = summaries.hourly_summary(silver(spark, folder)).withColumn("_at", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.orderBy("_at"))
+    return rows.select("transaction_date", "transaction_hour", place.alias("place"))
+
+
 @query
 def enrich(spark: SparkSession, folder: str) -> DataFrame:
     rows = _rounded(silver(spark, folder), "amount_log1p", digits=9)

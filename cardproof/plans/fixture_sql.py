@@ -233,6 +233,15 @@ SQL: dict[str, str] = {
             SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'P') s
         WHERE NOT EXISTS (
             SELECT 1 FROM orders t WHERE t.o_orderstatus = 'F' AND t.o_orderkey = s.o_orderkey)""",
+    "ingest_times": f"""
+        SELECT "V2", '2024-03-01' AS ingest_date, '2024-03-01 00:00:00' AS ingest_ts FROM ({_TX})""",
+    "summary_times": f"""
+        SELECT DISTINCT transaction_date, CAST(NULL AS INTEGER) AS transaction_hour, '2024-03-01 00:00:00' AS updated_ts
+        FROM ({_SILVER})
+        UNION ALL SELECT DISTINCT transaction_date, transaction_hour, '2024-03-01 00:00:00' FROM ({_SILVER})""",
+    "hourly_order": f"""
+        SELECT *, CAST(row_number() OVER (ORDER BY transaction_date, transaction_hour) AS INTEGER) AS place
+        FROM (SELECT DISTINCT transaction_date, transaction_hour FROM ({_SILVER}))""",
     "insert_within": """
         SELECT * REPLACE (round(o_totalprice, 2) AS o_totalprice) FROM orders
         UNION ALL
