@@ -39,8 +39,9 @@ def shingles(text, size=5):
 
 
 def line_shingles(line, size=12):
-    plain = " " + line.lower().translate({9: 32, 13: 32, 12: 32, 11: 32})
-    return frozenset(plain[i + 1 : i + 1 + size] for i in range(len(plain) - 1) if plain[i] == " " and plain[i + 1] != " ")
+    """Every run of characters of the line without its outer blanks; a shorter line is one."""
+    plain = line.lower().translate({9: 32, 13: 32, 12: 32, 11: 32}).strip(" ")
+    return frozenset(plain[i : i + size] for i in range(max(1, len(plain) - size + 1)))
 
 
 def line_classes(docs, percent=80):
