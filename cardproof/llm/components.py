@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardproof.sources.durable import durable
 
+LEAD_TURNS = 3  # leads a row is compared with before its rarest shingles decide
+SIZE_STEP = 1.08  # sizes of one class are this much apart at most
+
 
 def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """``(node, component)`` for every node that has a link to another; the component is its smallest node.
@@ -70,30 +74,72 @@ def apart(pairs: DataFrame, member: DataFrame) -> DataFrame:
     )
 
 
-def across(members: DataFrame, member: DataFrame) -> DataFrame:
-    """Pairs of one band in different components, without those of the band's leader, which were compared before.
+def unsettled(members: DataFrame, member: DataFrame) -> DataFrame:
+    """``rep, of`` of the rows that share a band with a row of another component; ``of`` is the row's own component."""
+    placed = members.join(member.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "band", "rep", F.coalesce("component", "rep").alias("of")
+    )
+    mixed = placed.groupBy("band").agg(F.min("of").alias("least"), F.max("of").alias("most")).filter("least <> most")
+    return placed.join(mixed.select("band"), "band", "left_semi").select("rep", "of").distinct()
+
+
+def _size_class(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / F.lit(math.log(SIZE_STEP))).cast("int")
+
+
+def _needed(n: Column, m: Column, percent: int) -> Column:
+    """Common elements that sets of ``n`` and ``m`` elements need for a similarity of ``percent``."""
+    return F.ceil(F.lit(percent) * (n + m) / F.lit(float(100 + percent)))
+
 
-    ``members`` has ``band, rep, lead``. In a band, the largest component is only compared with members of
-    the others, so a large group of copies and a few strangers cost their product and not the square of the group.
+def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of ``rep, of, shingles`` in different components that may reach the similarity; none that does is left out.
+
+    Sets are ordered by how rare their elements are. Two similar sets share one of their rarest, and the closer their
+    sizes, the fewer have to be looked at, so every set is indexed once per class of sizes it can be similar to. What
+    many sets hold, such as a passage they all quote, is not among the rarest of a set that holds enough of its own.
+    Keys that one component alone holds are dropped before the join.
     """
-    placed = members.join(member.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "band", "rep", "lead", F.coalesce("component", "rep").alias("of")
+    held = durable(
+        sets.filter(F.size("shingles") > 0).select(
+            "rep", "of", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("shingle")
+        )
+    )
+    shared = held.groupBy("shingle").agg(F.count("*").alias("sets")).filter("sets > 1")
+    own = Window.partitionBy("rep")
+    turn = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("sets", "shingle"))
+    n, step = F.col("n"), math.log(SIZE_STEP)
+    least, most = F.ceil(n * percent / F.lit(100.0)), F.floor(n * 100 / F.lit(float(percent)))
+
+    def reaches(d: Column) -> Column:
+        smallest = F.greatest(least, F.ceil(F.exp(d * F.lit(step)) * F.lit(1 - 1e-9)))
+        return F.col("turn") <= n - _needed(n, smallest, percent) + 1
+
+    ranked = held.join(shared, "shingle").withColumn("turn", turn).filter(F.col("turn") <= n - least + 1)
+    keys = ranked.withColumn("own", _size_class(n)).select(
+        "rep",
+        "of",
+        "n",
+        "turn",
+        "own",
+        "shingle",
+        F.explode(F.filter(F.sequence(_size_class(least), _size_class(most)), reaches)).alias("other"),
     )
-    parts = placed.groupBy("band", "of").agg(F.count("*").alias("n"))
-    bands = (
-        parts.groupBy("band")
-        .agg(F.count("*").alias("parts"), F.max(F.struct("n", "of")).alias("top"))
-        .filter("parts > 1")
-        .select("band", F.col("top.of").alias("top"))
+    keys = durable(
+        keys.select(
+            F.xxhash64(F.least("own", "other"), F.greatest("own", "other"), "shingle").alias("key"), "rep", "of", "n", "turn", "own", "other"
+        )
     )
-    open_rows = durable(placed.join(bands, "band"))
-    small = open_rows.filter("of <> top").select("band", F.col("rep").alias("s"), F.col("of").alias("s_of"), "lead")
-    other = open_rows.select("band", F.col("rep").alias("o"), F.col("of").alias("o_of"), "top")
+    mixed = keys.groupBy("key").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).filter("lo <> hi").select("key")
+    keys = durable(keys.join(mixed, "key", "left_semi"))
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("rep", "of", "n", "turn")]
+    small = keys.filter("own <= other").select("key", *side("a"), (F.col("own") == F.col("other")).alias("level"))
+    large = keys.filter("own >= other").select("key", *side("b"))
+    common = 1 + F.least(F.col("n_a") - F.col("turn_a"), F.col("n_b") - F.col("turn_b"))
+    alike = (F.col("of_a") != F.col("of_b")) & (common >= _needed(F.col("n_a"), F.col("n_b"), percent))
     return (
-        small.join(other, "band")
-        .filter((F.col("s_of") != F.col("o_of")) & (F.col("s") != F.col("lead")) & (F.col("o") != F.col("lead")))
-        .filter((F.col("o_of") == F.col("top")) | (F.col("s") < F.col("o")))
-        .select(F.least("s", "o").alias("a"), F.greatest("s", "o").alias("b"))
+        small.join(large, (small["key"] == large["key"]) & alike & (~F.col("level") | (F.col("rep_a") < F.col("rep_b"))))
+        .select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"))
         .distinct()
     )
 
@@ -113,21 +159,36 @@ def led(banded: DataFrame) -> DataFrame:
     return durable(weighed.select("band", "rep").join(leads, "band"))
 
 
-def linked(members: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+def linked(
+    members: DataFrame,
+    confirm: Callable[[DataFrame], DataFrame],
+    sets_of: Callable[[DataFrame], DataFrame],
+    percent: int,
+) -> tuple[DataFrame, DataFrame]:
     """Links and components of rows that share bands.
 
-    ``members`` comes from ``led``; ``confirm`` keeps the pairs ``a, b`` that are similar enough. Pairs are not
-    enumerated within a band: each row is compared with the most central of its leads, then with its other leads,
-    then with rows of its bands, and each time only what is still in different components.
+    ``members`` comes from ``led``; ``confirm`` keeps the pairs ``a, b`` that are similar enough; ``sets_of`` adds the
+    column ``shingles``, a set without repeats, to ``rep, of``. Pairs are not enumerated within a band: each row is
+    compared with the most central of its leads, then, where it is still in another component, with the next. Rows
+    that share a band with another component after that are compared where their rarest shingles meet, which finds every
+    link that is left between them.
     """
-    near = members.filter("rep <> lead")
-    nearest = near.groupBy("rep").agg(F.max(F.struct("lead_weight", "lead")).alias("top"))
-    links = durable(confirm(nearest.select(F.col("top.lead").alias("a"), F.col("rep").alias("b"))))
+    leads = members.filter("rep <> lead").select("rep", "lead", "lead_weight").distinct()
+    by_weight = Window.partitionBy("rep").orderBy(F.desc("lead_weight"), F.desc("lead"))
+    near = durable(
+        leads.withColumn("turn", F.row_number().over(by_weight))
+        .filter(F.col("turn") <= LEAD_TURNS)
+        .select(F.col("lead").alias("a"), F.col("rep").alias("b"), "turn")
+    )
+    links = durable(confirm(near.filter("turn = 1").select("a", "b")))
     member = components(links)
-    for pairs in (
-        lambda: apart(near.select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), member),
-        lambda: across(members, member),
-    ):
+
+    def rounds():
+        for turn in range(2, LEAD_TURNS + 1):
+            yield lambda: apart(near.filter(F.col("turn") == turn).select("a", "b"), member)  # noqa: B023
+        yield lambda: prefix_pairs(sets_of(durable(unsettled(members, member))), percent)
+
+    for pairs in rounds():
         more = durable(confirm(pairs()))
         if not more.isEmpty():
             links = durable(links.unionByName(more))

@@ -188,8 +188,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     confirmed as linked with the row's class on the way to its component. Null or empty texts have an empty set
     and are linked with nothing; repeated rows are one class, and all rows of the kept id are kept. Null ids are taken as the smallest possible long.
 
-    Pairs are never enumerated within a band: each class is first compared with a central class of its bands,
-    and only pairs of one band that are still in different components are compared after that.
+    Pairs are never enumerated within a band: each class is first compared with central classes of its bands, and what
+    is still in different components only where the rarest shingles of two sets meet.
     """
     docs = docs.select(F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("doc_id"), "text")
     rows = durable(signatures(docs, size))
@@ -208,7 +208,10 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     )
     regs = reps.select("rep", "n_shingles", "registers")
 
-    links, member = linked(members, lambda pairs: _confirmed(pairs, regs, sets, percent))
+    of_rep = sets.withColumnRenamed("doc_id", "rep")
+    links, member = linked(
+        members, lambda pairs: _confirmed(pairs, regs, sets, percent), lambda some: some.join(of_rep, "rep"), percent
+    )
     count = (
         links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count("*").alias("links"))
     )

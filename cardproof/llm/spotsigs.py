@@ -144,7 +144,8 @@ def set_classes(prints: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             .filter(likeness(F.col("s_a"), F.col("s_b")) >= threshold).select("a", "b")
         )
 
-    _, member = linked(members, confirmed)
+    of_rep = sets.select("rep", F.col("signatures").alias("shingles"))
+    _, member = linked(members, confirmed, lambda some: some.join(of_rep, "rep"), math.floor(100 * threshold + 1e-9))
     placed = sets.select("rep", "doc_id").join(member.withColumnRenamed("node", "rep"), "rep", "left").select(
         "rep", "doc_id", F.coalesce("component", "rep").alias("component")
     )
