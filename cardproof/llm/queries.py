@@ -71,6 +71,7 @@ def op2_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
         "spans",
         "n_live",
         "n_example",
+        "max_repositories",
     )
 
 

@@ -1,8 +1,8 @@
 """Secret scans with corpus-wide ownership frequency.
 
 Candidates are found by pattern, one kind at a time. Hashes of their values are counted by the distinct repositories and
-owners that hold them: a value that many owners hold is a copied example, one that a single owner holds looks
-live. Strings that only look random count as secrets where they belong to one owner. DataFrame functions only.
+owners that hold them: a value that many owners or very many repositories hold is a copied example, any other looks
+live. Strings that only look random count as secrets as long as they are no example. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cardproof.sources.durable import durable
 
 EXAMPLE_OWNERS = 3  # a value held by so many owners is an example
+EXAMPLE_REPOSITORIES = 100  # or by so many repositories, whoever owns them
 DISTINCT_CHARS = 6  # a live-looking value has so many different characters at least
 
 
@@ -27,7 +28,7 @@ class Kind:
     least: int  # characters of the value
     group: int = 0
     base: bool = False
-    one_owner: bool = False  # counts only where a single owner holds the value, and with mixed characters
+    rare: bool = False  # counts only where the value is no example, and with mixed characters
 
 
 # The three base kinds in their order, then common public token formats.
@@ -45,7 +46,7 @@ KINDS = (
     Kind("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 1),
     Kind("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 1),
     Kind("vendor", r"(?:gh[pousr]_|xox[abprs]-|sk_live_|sk-)[A-Za-z0-9_-]{16,}", 1),
-    Kind("mixed", r"[A-Za-z0-9+/_=-]{24,}", 24, one_owner=True),
+    Kind("mixed", r"[A-Za-z0-9+/_=-]{24,}", 24, rare=True),
 )
 _MARK = "\u0001"
 
@@ -107,27 +108,28 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", kinds=KINDS) -> DataFrame:
-    """Per row ``doc_id, text_key, n_<kind>`` of the base kinds, ``base``, ``spans``, ``n_live``, ``n_example``.
+    """Per row ``doc_id, text_key, n_<kind>`` of the base kinds, ``base``, ``spans``, ``n_live``, ``n_example``, ``max_repositories``.
 
     ``base`` and ``spans`` list ``kind:first:last`` by place, then kind. Base matches always count; the value decides
-    whether they look live or are copied examples. Null and empty texts have no spans; a null owner is one owner.
+    whether they look live or are copied examples: ``EXAMPLE_OWNERS`` owners or ``EXAMPLE_REPOSITORIES`` repositories make it
+    an example. ``max_repositories`` is the largest number of repositories that hold a value of the row. Null and empty
+    texts have no spans; a null owner is one owner, and a null repository none.
     """
     named = docs.select("doc_id", "text", F.col(owner).alias("owner"), F.col(repository).alias("repository"))
     found = durable(candidates(named, kinds).withColumn("value_key", F.xxhash64("value")).withColumn("chars", F.size(F.array_distinct(F.split("value", "")))).withColumn("varied", _varied(F.col("value"))).drop("value"))
     judged = found.join(durable(ownership(found)), "value_key")
-    one_owner = F.lit(False)
-    for n, k in enumerate(kinds):
-        if k.one_owner:
-            one_owner = one_owner | (F.col("rank") == n)
-    judged = judged.filter(~one_owner | ((F.col("owners") == 1) & F.col("varied"))).select(
+    example = (F.col("owners") >= EXAMPLE_OWNERS) | (F.col("repositories") >= EXAMPLE_REPOSITORIES)
+    rare = F.col("rank").isin([n for n, k in enumerate(kinds) if k.rare])
+    judged = judged.filter(~rare | (~example & F.col("varied"))).select(
         "doc_id",
         "text_key",
         "rank",
         "kind",
         "first",
         F.concat_ws(":", "kind", F.col("first").cast("string"), F.col("last").cast("string")).alias("span"),
-        (F.col("owners") >= EXAMPLE_OWNERS).alias("example"),
-        ((F.col("owners") < EXAMPLE_OWNERS) & (F.col("chars") >= DISTINCT_CHARS)).alias("live"),
+        "repositories",
+        example.alias("example"),
+        (~example & (F.col("chars") >= DISTINCT_CHARS)).alias("live"),
     )
     base = [n for n, k in enumerate(kinds) if k.base]
     is_base = F.col("rank").isin(base)
@@ -139,10 +141,11 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", kin
         spans(F.collect_list(places)).alias("spans"),
         F.count_if("live").alias("n_live"),
         F.count_if("example").alias("n_example"),
+        F.max("repositories").alias("max_repositories"),
     )
     rows = docs.select(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__key"))
     joined = rows.join(counted, F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__key") == F.col("text_key")), "left")
-    numbers = [*(f"n_{kinds[n].name}" for n in base), "n_live", "n_example"]
+    numbers = [*(f"n_{kinds[n].name}" for n in base), "n_live", "n_example", "max_repositories"]
     return joined.select(
         F.col("__id").alias("doc_id"),
         F.col("__key").alias("text_key"),

@@ -98,17 +98,21 @@ _CUT = " UNION ALL ".join(
 SQL["op2_secret_ownership"] = f"""
 WITH texts AS (SELECT doc_id, source, replace(coalesce(text, ''), chr(1), chr(2)) AS t FROM documents),
 found AS (SELECT * FROM ({_CUT}) WHERE length(value) >= least),
-owned AS (SELECT value, count(DISTINCT coalesce(source, chr(0))) AS owners FROM found GROUP BY value),
+owned AS (
+  SELECT value, count(DISTINCT doc_id) AS repositories, count(DISTINCT coalesce(source, chr(0))) >= 3 OR count(DISTINCT doc_id) >= 100 AS example
+  FROM found GROUP BY value),
 judged AS (
-  SELECT found.*, owners, kind || ':' || first || ':' || last AS span FROM found JOIN owned USING (value)
-  WHERE kind <> 'mixed' OR (owners = 1 AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[0-9]'))),
+  SELECT found.*, repositories, example, kind || ':' || first || ':' || last AS span FROM found JOIN owned USING (value)
+  WHERE kind <> 'mixed' OR (NOT example AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[0-9]'))),
 counted AS (
   SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
     string_agg(span, ',' ORDER BY first, rank) FILTER (rank < 3) AS base, string_agg(span, ',' ORDER BY first, rank) AS spans,
-    count(*) FILTER (owners < 3 AND len(list_distinct(string_split(value, ''))) >= 6) AS n_live, count(*) FILTER (owners >= 3) AS n_example
+    count(*) FILTER (NOT example AND len(list_distinct(string_split(value, ''))) >= 6) AS n_live, count(*) FILTER (example) AS n_example,
+    max(repositories) AS max_repositories
   FROM judged GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example,
+  coalesce(max_repositories, 0) AS max_repositories
 FROM documents d LEFT JOIN counted USING (doc_id)
 """
 

@@ -40,10 +40,23 @@ def test_secrets(spark):
     assert scanned(spark, []) == {}
 
 
-def test_a_mixed_string_of_two_owners_is_not_added(spark):
+def test_a_mixed_string_is_added_until_it_is_an_example(spark):
     text = "random Zx81kLmN02pQrStUvW9yAbCd here"
-    got = scanned(spark, [(1, text, "a", 0), (2, text, "b", 0)])
-    assert [got[i]["spans"] for i in (1, 2)] == ["", ""]
+    two = [(1, text, "a", 0), (2, text, "b", 0), (2, text, "b", 0)]
+    got = scanned(spark, two)
+    assert [(got[i]["spans"], got[i]["n_live"], got[i]["max_repositories"]) for i in (1, 2)] == [("mixed:7:31", 1, 2)] * 2
+    got = scanned(spark, [*two, (3, text, "c", 0)])
+    assert [got[i]["spans"] for i in (1, 2, 3)] == ["", "", ""]
+
+
+def test_a_value_in_very_many_repositories_is_an_example(spark):
+    key, random_text = "AKIA" + "ABCD1234" * 3, "Zx81kLmN02pQrStUvW9yAbCd"
+    rows = [(i, f"{key} {random_text}", "ab"[i % 2], 0) for i in range(secret_scan.EXAMPLE_REPOSITORIES)]
+    got = scanned(spark, rows)
+    assert all((r["n_access"], r["n_live"], r["n_example"], r["max_repositories"]) == (1, 0, 1, len(rows)) for r in got.values())
+    assert all("mixed" not in r["spans"] for r in got.values())
+    got = scanned(spark, rows[1:])
+    assert all((r["n_live"], r["n_example"]) == (2, 0) and "mixed" in r["spans"] for r in got.values())
 
 
 def compared(spark, rows):
