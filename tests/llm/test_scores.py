@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from cardproof.llm import katz, string_kernel
 
@@ -91,6 +92,23 @@ def test_katz_of_nothing(spark):
     assert katz.score(spark.createDataFrame([(1, "a b")], SCHEMA), model).first()["n_known"] == 0
 
 
+def test_katz_shares_do_not_grow_with_the_ranges(spark):
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(i, " ".join(rng.choices([f"w{x}" for x in range(3000)], k=10))) for i in range(2000)], SCHEMA)
+    size = F.sum(F.octet_length(F.coalesce("words", F.lit(b""))) + F.octet_length(F.coalesce("grams", F.lit(b""))))
+    made = {parts: katz.shares(docs, katz.train(docs, 2, parts=parts)).agg(size).first()[0] for parts in (16, 64)}
+    grams = 2000 * (11 + 10)  # ranges times texts would be 64 * 2000 * 2
+    assert made[64] < 1.5 * made[16] and made[64] <= 28 * grams
+
+
+def test_katz_keeps_ids_as_they_are(spark):
+    rows = [("a", "one two"), (None, "one two"), ("a", "one two"), ("0", None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = katz.score(docs, katz.train(docs, 2, parts=2)).collect()
+    assert sorted((r["doc_id"] or "", r["n_tokens"]) for r in got) == [("", 3), ("0", 1), ("a", 3), ("a", 3)]
+    assert len({r["score"] for r in got if r["n_tokens"] == 3}) == 1
+
+
 def plain_kernel(s, t):
     def spans(x):
         out = Counter()
