@@ -8,6 +8,7 @@ so that only sets whose sizes allow the wanted similarity meet, and compared by
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -153,9 +154,11 @@ def set_classes(prints: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return durable(placed.join(smallest, "component").select(F.col("rep").alias("set_key"), "class_id"))
 
 
-def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
+def with_next(rows: DataFrame, columns: list[str], derive: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """Adds ``next_<column>`` of the row that follows by ``doc_id`` (ties by text); the first follows the last.
 
+    ``derive`` adds columns to rows that are computed from the row alone; it is applied before the move, so once a row.
+
     Ids are cut into buckets of about ``BUCKET_ROWS`` rows at their quantiles, rows are moved to their bucket once, and a
     window finds the next row there. What follows a bucket's last row is the first row of the next bucket: at most
     ``MAX_BUCKETS`` rows, which bounds that table.
@@ -172,9 +175,10 @@ def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     put = lambda df: cutter.transform(df.withColumn("__at", place)).drop("__at")
     order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
     inside = Window.partitionBy("bucket").orderBy(*order)
-    followed = put(rows).select(
-        "*",
-        F.lead(F.struct(*columns)).over(inside).alias("__next"),
+    derived = derive(rows)
+    # each column by itself: a struct of them would be moved beside them
+    followed = put(derived).select(
+        "*", F.lead(F.lit(True)).over(inside).alias("__has"), *(F.lead(c).over(inside).alias(f"next_{c}") for c in columns)
     )
     heads = put(rows.select("doc_id")).groupBy("bucket").agg(F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("head"))
     along, whole = Window.orderBy("bucket"), Window.partitionBy()
@@ -185,13 +189,14 @@ def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     )
     fields = [F.coalesce(F.col("text"), F.lit("")), F.col("text").isNotNull(), F.struct(*columns)]
     first_rows = durable(
-        rows.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("head")))
+        derive(rows.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("head"))))
         .groupBy("before")
         .agg(F.min_by(F.struct(*columns), F.struct(fields[1].alias("has"), fields[0].alias("text"))).alias("__first"))
     )
-    joined = followed.join(first_rows, (F.col("bucket") == F.col("before")) & F.col("__next").isNull(), "left")
+    joined = followed.join(first_rows, (F.col("bucket") == F.col("before")) & F.col("__has").isNull(), "left")
     return joined.select(
-        *rows.columns, *(F.coalesce(F.col("__next"), F.col("__first"))[c].alias(f"next_{c}") for c in columns)
+        *derived.columns,
+        *(F.when(F.col("__has"), F.col(f"next_{c}")).otherwise(F.col("__first")[c]).alias(f"next_{c}") for c in columns),
     )
 
 
@@ -202,23 +207,32 @@ def edited_comparison(docs: DataFrame) -> DataFrame:
 
     The edited text has its last quarter (in code points, rounded down) replaced by as many of the next document's first, or all of them.
     """
-    own = with_signatures(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text", "signatures")
-    rows = with_next(own, ["text", "signatures"])
+    whole = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = with_next(whole, ["text", "signatures"], lambda some: with_signatures(some, "text", "signatures"))
     size = F.length("text")
     cut = F.floor(size / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), size - cut), F.substring("next_text", F.lit(1), cut))
     made = rows.select(
-        "doc_id", size.cast("long").alias("n_chars"), "signatures", "next_signatures", edited.alias("edited")
+        "doc_id",
+        size.cast("long").alias("n_chars"),
+        "signatures",
+        likeness(F.col("signatures"), F.col("next_signatures")).alias("near_next"),
+        edited.alias("edited"),
     )
-    made = with_signatures(made, "edited", "edited_signatures").withColumn("set_key", set_key("signatures"))
-    return with_class(made, set_classes(own.select("doc_id", "signatures"))).select(
+    made = durable(  # what both the classes and the result are read from, without texts
+        with_signatures(made, "edited", "edited_signatures")
+        .withColumn("edited_sha256", F.sha2("edited", 256))
+        .withColumn("set_key", set_key("signatures"))
+        .drop("edited")
+    )
+    return with_class(made, set_classes(made.select("doc_id", "signatures"))).select(
         "doc_id",
         "n_chars",
-        F.sha2("edited", 256).alias("edited_sha256"),
+        "edited_sha256",
         fingerprint(F.col("signatures")).alias("fingerprint"),
         fingerprint(F.col("edited_signatures")).alias("edited_fingerprint"),
         likeness(F.col("signatures"), F.col("edited_signatures")).alias("near_edited"),
-        likeness(F.col("signatures"), F.col("next_signatures")).alias("near_next"),
+        "near_next",
         partition(F.size("signatures")).alias("length_partition"),
         "class_id",
     )
