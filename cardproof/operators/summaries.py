@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 HOUR = ("transaction_date", "transaction_hour")
 
 
-def band_totals(silver: DataFrame) -> DataFrame:
-    """One row per date, hour and amount band: the only pass over silver that gold needs.
+def band_totals(silver: DataFrame, *more: str) -> DataFrame:
+    """One row per date, hour and amount band (and per ``more`` columns): the only pass over silver that gold needs.
 
     Partial aggregation leaves each map task at most one row per group, so a busy hour is no hot spot.
     """
     fraud = F.col("is_fraud").cast("bigint")
-    return silver.groupBy(*HOUR, "amount_bucket").agg(
+    return silver.groupBy(*more, *HOUR, "amount_bucket").agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(fraud).alias("frauds"),
         F.sum("Amount").alias("volume"),
@@ -25,6 +25,13 @@ def band_totals(silver: DataFrame) -> DataFrame:
     )
 
 
+def merged_bands(bands: DataFrame) -> DataFrame:
+    """Totals by date, hour and band from those of several loads."""
+    return bands.groupBy(*HOUR, "amount_bucket").agg(
+        *(F.sum(c).alias(c) for c in ("rows", "frauds", "volume", "amounts")), F.max("peak").alias("peak")
+    )
+
+
 def daily_from_bands(bands: DataFrame, updated_ts: datetime | None = None) -> DataFrame:
     rows, frauds = F.sum("rows"), F.sum("frauds")
     return (

@@ -671,8 +671,8 @@ def iforest_events(spark: SparkSession, folder: str) -> DataFrame:
 # --- stages ------------------------------------------------------------------------------------
 
 
-def _ingested(spark: SparkSession, folder: str) -> str:
-    """Two overlapping CSV batches, each with repeated rows, loaded into bronze and silver."""
+def _ingested(spark: SparkSession, folder: str, after=lambda root, name: None) -> str:
+    """Two overlapping CSV batches, each with repeated rows, loaded into bronze and silver; ``after`` follows each load."""
     root, csv = new_scratch_path(spark, "tables"), new_scratch_path(spark, "csv")
     rows = transactions(spark, folder)
     early, late = rows.filter(_day() < 20), rows.filter(_day() >= 10)
@@ -683,6 +683,7 @@ def _ingested(spark: SparkSession, folder: str) -> str:
             spark, f"{csv}/{name}", f"{root}/bronze", f"{root}/audit", name, name, EVENT_FEATURES
         )
         stages.run_silver(spark, f"{root}/bronze", f"{root}/silver", [name], ORIGIN)
+        after(root, name)
     return root
 
 
@@ -692,6 +693,31 @@ def _ingested_gold(spark: SparkSession, folder: str) -> str:
     return root
 
 
+def _gold_by_load(spark: SparkSession, folder: str) -> str:
+    """Gold brought up to date after each load, the last one repeated."""
+
+    def gold(root: str, name: str) -> None:
+        stages.run_gold_for_loads(
+            spark, f"{root}/silver", f"{root}/bands", f"{root}/daily", f"{root}/hourly", [name]
+        )
+
+    root = _ingested(spark, folder, gold)
+    gold(root, "2024-02-02")
+    return root
+
+
+@query
+def gold_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    daily = snapshots.read_table(spark, f"{_gold_by_load(spark, folder)}/daily")
+    return _rounded(daily.drop("updated_ts"), *DAILY_FLOATS)
+
+
+@query
+def gold_incremental_hourly(spark: SparkSession, folder: str) -> DataFrame:
+    hourly = snapshots.read_table(spark, f"{_gold_by_load(spark, folder)}/hourly")
+    return _rounded(hourly.drop("updated_ts"), "avg_amount")
+
+
 @query
 def stages_daily(spark: SparkSession, folder: str) -> DataFrame:
     daily = snapshots.read_table(spark, f"{_ingested_gold(spark, folder)}/daily")

@@ -405,6 +405,8 @@ SQL: dict[str, str] = {
         FROM embeddings""",
     "stages_daily": _daily(_LOADED),
     "stages_hourly": _hourly(_LOADED),
+    "gold_incremental": _daily(_LOADED),
+    "gold_incremental_hourly": _hourly(_LOADED),
     "stages_silver": f"SELECT *, ingest_date AS batch_id FROM ({_LOADED})",
     "stages_bronze_audit": f"""
         SELECT g AS batch_id, leaf_count AS row_count, leaf_count AS recorded_row_count,

@@ -24,6 +24,7 @@ from cardproof.operators.summaries import (
     band_totals,
     daily_from_bands,
     hourly_from_bands,
+    merged_bands,
     top_fraud_days,
 )
 from cardproof.sources import snapshots
@@ -113,10 +114,42 @@ def run_gold(spark: SparkSession, silver_path: str, daily_path: str, hourly_path
     now = datetime.now(timezone.utc)
     with scratch_scope(spark):
         bands = durable(band_totals(snapshots.read_table(spark, silver_path)))
-        daily = upsert_table(
-            daily_from_bands(bands, now), daily_path, ["transaction_date"], unique_source=True
-        )
-        hourly = upsert_table(hourly_from_bands(bands, now), hourly_path, HOUR, unique_source=True)
+        return _write_gold(spark, bands, daily_path, hourly_path, now)
+
+
+def run_gold_for_loads(
+    spark: SparkSession,
+    silver_path: str,
+    bands_path: str,
+    daily_path: str,
+    hourly_path: str,
+    ingest_dates: Sequence[str],
+) -> dict[str, int]:
+    """Bring both summaries up to date after some loads; returns the row counts that were upserted.
+
+    Totals by load, date, hour and band are kept in a table. Silver is read for the given load dates only and their totals are replaced;
+    the days that they held or hold are then summed again from the totals of all loads. The result is that of a
+    full run once every load has been given, as a key stays in the load that brought it. A load that is repeated counts once.
+    """
+    now, wanted = datetime.now(timezone.utc), list(ingest_dates)
+    with scratch_scope(spark):
+        silver = snapshots.read_table(spark, silver_path, ingest_date=wanted)
+        fresh = durable(band_totals(silver, *PARTITION))
+        days = fresh.select(HOUR[0])
+        if snapshots.exists(spark, bands_path):
+            days = days.unionByName(snapshots.read_table(spark, bands_path, ingest_date=wanted).select(HOUR[0]))
+        days = durable(days.distinct().withColumnRenamed(HOUR[0], "_day"))
+        snapshots.replace_parts(fresh, bands_path, PARTITION, ingest_date=wanted)
+        touched = F.col(HOUR[0]).eqNullSafe(F.col("_day"))
+        bands = snapshots.read_table(spark, bands_path).join(days, touched, "left_semi")
+        return _write_gold(spark, durable(merged_bands(bands)), daily_path, hourly_path, now)
+
+
+def _write_gold(
+    spark: SparkSession, bands: DataFrame, daily_path: str, hourly_path: str, now: datetime
+) -> dict[str, int]:
+    daily = upsert_table(daily_from_bands(bands, now), daily_path, ["transaction_date"], unique_source=True)
+    hourly = upsert_table(hourly_from_bands(bands, now), hourly_path, HOUR, unique_source=True)
     for path, order in ((daily_path, HOUR[:1]), (hourly_path, HOUR)):
         snapshots.rewrite_split_partitions(spark, path, lambda df: df.orderBy(*order), GOLD_PARTS)
     return {"daily": daily, "hourly": hourly}

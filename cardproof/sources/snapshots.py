@@ -129,7 +129,7 @@ def part_of_row(partition_by: Sequence[str]):
     return F.concat_ws("/", *names)
 
 
-def select_parts(snapshot: Snapshot, **wanted: Sequence[str]) -> list[str]:
+def select_parts(snapshot: Snapshot | Staged, **wanted: Sequence[str]) -> list[str]:
     """The parts whose partition values are among those wanted, by their names alone."""
     unknown = sorted(set(wanted) - set(snapshot.partition_by))
     if unknown:
@@ -152,6 +152,19 @@ def create_or_replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()
     return publish(df.sparkSession, base, stage(df, path, partition_by))
 
 
+def replace_parts(df: DataFrame, path: str, partition_by: Sequence[str], **wanted: Sequence[str]) -> Snapshot:
+    """Put the frame in place of the parts with the wanted partition values; the others are carried over by name.
+
+    The frame may hold no other values. A wanted value without rows leaves the table.
+    """
+    base = current(df.sparkSession, path)
+    staged = stage(df, path, partition_by)
+    if len(select_parts(staged, **wanted)) < len(staged.parts):
+        raise ValueError(f"rows outside {wanted} are not replaced")
+    gone = set(select_parts(base, **wanted)) if base else set()
+    return publish(df.sparkSession, base, staged, keep=[p for p in base.parts if p not in gone] if base else ())
+
+
 def rewrite_split_partitions(
     spark: SparkSession, path: str, arrange: Callable[[DataFrame], DataFrame], max_parts: int = 1
 ) -> Snapshot:

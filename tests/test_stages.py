@@ -141,6 +141,34 @@ def test_gold_upserts_and_keeps_stale_days(spark, root):
     assert daily == {date(2013, 9, 1): 2.0, date(2013, 9, 2): 75.0}
 
 
+def test_gold_by_load_reads_that_load_only_and_equals_a_full_run(spark, root, monkeypatch):
+    read, scanned = snapshots.read_table, []
+
+    def recorded(session, path, **wanted):
+        found = read(session, path, **wanted)
+        if path == f"{root}/s":
+            scanned.append(found.inputFiles())
+        return found
+
+    def by_load(day):
+        return stages.run_gold_for_loads(spark, f"{root}/s", f"{root}/bands", f"{root}/d", f"{root}/h", [day])
+
+    bronze(spark, root, "one", *FIRST)
+    stages.run_silver(spark, f"{root}/b", f"{root}/s", ["2024-01-01"])
+    assert by_load("2024-01-01") == {"daily": 2, "hourly": 3}
+    bronze(spark, root, "two", (7.0, 8.0, 1), FIRST[3], day="2024-01-02")
+    stages.run_silver(spark, f"{root}/b", f"{root}/s", ["2024-01-02"])
+    monkeypatch.setattr(stages.snapshots, "read_table", recorded)
+    for _ in range(2):  # a load that is repeated counts once
+        assert by_load("2024-01-02") == {"daily": 1, "hourly": 2}  # both hours of its day
+    assert len(scanned) == 2 and all(files and all("ingest_date=2024-01-02" in f for f in files) for files in scanned)
+    assert by_load("2024-01-03") == {"daily": 0, "hourly": 0}  # a load without rows
+    stages.run_gold(spark, f"{root}/s", f"{root}/full_d", f"{root}/full_h")
+    for one, other in ((f"{root}/d", f"{root}/full_d"), (f"{root}/h", f"{root}/full_h")):
+        a, b = read(spark, one).drop("updated_ts"), read(spark, other).drop("updated_ts")
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
 def test_report_of_all_stages(spark, root):
     csv = write_csv(spark, f"{root}/in", *FIRST)
     report = stages.run_all(spark, csv, f"{root}/t", "2024-01-01").collect()
