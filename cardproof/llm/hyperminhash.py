@@ -118,19 +118,24 @@ def expected_collision(n_a: Column, n_b: Column) -> Column:
     return F.lit(0.5 / np.log(2) / (1 << MANTISSA)) * n_a * n_b / (total * total)
 
 
+def set_keys(sets: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Two 64-bit hashes of each set, zero for an empty one."""
+    begin, some = np.cumsum(sizes) - sizes, sizes > 0
+    keys = np.zeros((2, len(sizes)), np.int64)
+    if some.any():
+        with np.errstate(over="ignore"):
+            keys[0, some] = np.add.reduceat(mix64(sets), begin[some]).view(np.int64)
+            keys[1, some] = np.bitwise_xor.reduceat(mix64(sets + np.uint64(77)), begin[some]).view(np.int64)
+    return keys
+
+
 def _signatures(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, data, offsets in chunks(batch.column("text")):
                 sets, sizes = shingle_sets(data, offsets, size)
                 regs = registers(sets, sizes)
-                begin = np.cumsum(sizes) - sizes
-                some = sizes > 0
-                keys = np.zeros((2, len(sizes)), np.int64)
-                if some.any():
-                    with np.errstate(over="ignore"):
-                        keys[0, some] = np.add.reduceat(mix64(sets), begin[some]).view(np.int64)
-                        keys[1, some] = np.bitwise_xor.reduceat(mix64(sets + np.uint64(77)), begin[some]).view(np.int64)
+                keys = set_keys(sets, sizes)
                 width = BUCKETS // BAND
                 banded = np.full((len(sizes), width), 0, np.uint64)
                 with np.errstate(over="ignore"):
@@ -170,11 +175,8 @@ def _sets(size: int):
                 sets, sizes = shingle_sets(data, offsets, size)
                 ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(first, last - first),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(sets.view(np.int64))),
-                    ],
-                    names=["doc_id", "shingles"],
+                    [*map(pa.array, set_keys(sets, sizes)), pa.array(sizes.astype(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(sets.view(np.int64)))],
+                    names=["key_1", "key_2", "n_shingles", "shingles"],
                 )
 
     return run
@@ -183,50 +185,56 @@ def _sets(size: int):
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per row ``doc_id, n_shingles, component_id, kept, links``.
 
-    Texts with equal shingle sets are one class, known by its smallest id; classes are linked if 100 times the
-    intersection of their sets is at least ``percent`` times the union. ``links`` is the number of other classes
-    confirmed as linked with the row's class on the way to its component. Null or empty texts have an empty set
-    and are linked with nothing; repeated rows are one class, and all rows of the kept id are kept. Null ids are taken as the smallest possible long.
+    Texts with equal shingle sets are one class; classes are linked if 100 times the intersection of their sets is at
+    least ``percent`` times the union. A component is known by its smallest id, of whatever type ids are; null ids stay null and
+    count only where a component has no other. ``links`` is the number of other classes confirmed as linked with
+    the row's class on the way to its component. Null or empty texts have an empty set and are linked with nothing;
+    repeated rows are one class, rows of one id with different texts are different ones, and all rows of the kept id are kept.
 
     Pairs are never enumerated within a band: each class is first compared with central classes of its bands, and what
     is still in different components only where the rarest shingles of two sets meet.
     """
-    docs = docs.select(F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("doc_id"), "text")
-    rows = durable(signatures(docs, size))
+    docs = docs.select("doc_id", "text")
     keys = ["key_1", "key_2", "n_shingles"]
-    classes = durable(rows.groupBy(*keys).agg(F.min("doc_id").alias("rep")))
-    lone = classes.filter("n_shingles > 0")
+    rows = durable(signatures(docs, size).withColumn("rep", F.xxhash64(*keys)))
+    some = rows.filter("n_shingles > 0")
+    classes = durable(some.groupBy("rep").agg(F.min("doc_id").alias("first")))
     reps = durable(
-        rows.join(lone, [*keys], "inner").filter("doc_id = rep").select("rep", "n_shingles", "registers", "bands").dropDuplicates(["rep"])
+        some.join(classes, (some["rep"] == classes["rep"]) & some["doc_id"].eqNullSafe(classes["first"]))
+        .select(some["rep"], "n_shingles", "registers", "bands")
+        .dropDuplicates(["rep"])
     )
     banded = reps.select("rep", F.posexplode("bands").alias("no", "band")).select("rep", "band")
     members = led(banded)
-    involved = durable(members.select("rep").distinct())
-    texts = docs.join(involved, docs["doc_id"] == involved["rep"], "left_semi").select("doc_id", "text")
+    involved = durable(members.select("rep").distinct().join(classes, "rep"))
+    texts = docs.join(involved, docs["doc_id"].eqNullSafe(involved["first"]), "left_semi").select("doc_id", "text")
     sets = durable(
-        texts.mapInArrow(_sets(size), "doc_id long, shingles array<long>").dropDuplicates(["doc_id"])
+        texts.mapInArrow(_sets(size), "key_1 long, key_2 long, n_shingles long, shingles array<long>")
+        .select(F.xxhash64(*keys).alias("rep"), "shingles")
+        .dropDuplicates(["rep"])
     )
     regs = reps.select("rep", "n_shingles", "registers")
 
-    of_rep = sets.withColumnRenamed("doc_id", "rep")
     links, member = linked(
-        members, lambda pairs: _confirmed(pairs, regs, sets, percent), lambda some: some.join(of_rep, "rep"), percent
+        members, lambda pairs: _confirmed(pairs, regs, sets, percent), lambda some: some.join(sets, "rep"), percent
     )
     count = (
         links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count("*").alias("links"))
     )
-    named = durable(
+    placed = durable(
         classes.join(member.withColumnRenamed("node", "rep"), "rep", "left")
         .join(count, "rep", "left")
-        .select(*keys, F.coalesce("component", "rep").alias("component"), F.coalesce("links", F.lit(0)).alias("links"))
+        .select("rep", "first", F.coalesce("component", "rep").alias("component"), F.coalesce("links", F.lit(0)).alias("links"))
     )
-    own = rows.select("doc_id", *keys).join(named, keys, "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
+    smallest = placed.groupBy("component").agg(F.min("first").alias("component_id"))
+    named = durable(placed.join(smallest, "component").select("rep", "component_id", "links"))
+    own = rows.select("doc_id", "n_shingles", "rep").join(named, "rep", "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return own.select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
-        (component == F.col("doc_id")).alias("kept"),
+        component.eqNullSafe(F.col("doc_id")).alias("kept"),
         F.when(F.col("n_shingles") > 0, F.col("links")).otherwise(F.lit(0)).alias("links"),
     )
 
@@ -248,15 +256,18 @@ def _confirmed(pairs: DataFrame, regs: DataFrame, sets: DataFrame, percent: int)
     likely = durable(likely)
     common = F.size(F.array_intersect("s_a", "s_b"))
     return (
-        likely.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s_a")), "a")
-        .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("s_b")), "b")
+        likely.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("s_a")), "a")
+        .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("s_b")), "b")
         .filter(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common))
         .select("a", "b")
     )
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component."""
-    found = near_duplicates(docs, size, percent).filter("not kept").select(F.col("doc_id").alias("__drop"), F.col("n_shingles")).distinct()
-    gone = durable(found.select("__drop").distinct())
-    return docs.join(gone, docs["doc_id"] == gone["__drop"], "left_anti")
+    """The rows of ``docs`` whose id is the smallest of its component.
+
+    Rows of one id stay or go together; they stay if one of them is kept.
+    """
+    found = near_duplicates(docs, size, percent).groupBy(F.col("doc_id").alias("__drop")).agg(F.max("kept").alias("__kept"))
+    gone = durable(found.filter("not __kept").select("__drop"))
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__drop"]), "left_anti")
