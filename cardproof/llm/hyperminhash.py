@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardproof.llm.arrow_text import chunks, mix64, words
-from cardproof.llm.components import led, linked
+from cardproof.llm.components import led, likely_in, linked, named_by
 from cardproof.sources.durable import durable
 
 SHINGLE = 5
@@ -199,21 +199,23 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     rows = durable(signatures(docs, size).withColumn("rep", F.xxhash64(*keys)))
     some = rows.filter("n_shingles > 0")
     classes = durable(some.groupBy("rep").agg(F.min("doc_id").alias("first")))
-    reps = durable(
-        some.join(classes, (some["rep"] == classes["rep"]) & some["doc_id"].eqNullSafe(classes["first"]))
-        .select(some["rep"], "n_shingles", "registers", "bands")
-        .dropDuplicates(["rep"])
-    )
-    banded = reps.select("rep", F.posexplode("bands").alias("no", "band")).select("rep", "band")
+    reps = durable(some.select("rep", "bands").dropDuplicates(["rep"]))  # rows of one set have equal bands and registers
+    banded = reps.select("rep", F.explode("bands").alias("band"))
     members = led(banded)
     involved = durable(members.select("rep").distinct().join(classes, "rep"))
-    texts = docs.join(involved, docs["doc_id"].eqNullSafe(involved["first"]), "left_semi").select("doc_id", "text")
+    alone, firsts = involved.select("rep"), involved.select("first").distinct()
+    regs = durable(
+        likely_in(some.select("rep", "n_shingles", "registers"), "rep", alone)
+        .join(alone, "rep", "left_semi")
+        .dropDuplicates(["rep"])
+    )
+    texts = likely_in(docs, "doc_id", firsts)  # so that the others' texts are not moved
+    texts = texts.join(firsts, texts["doc_id"].eqNullSafe(firsts["first"]), "left_semi").select("doc_id", "text")
     sets = durable(
         texts.mapInArrow(_sets(size), "key_1 long, key_2 long, n_shingles long, shingles array<long>")
         .select(F.xxhash64(*keys).alias("rep"), "shingles")
         .dropDuplicates(["rep"])
     )
-    regs = reps.select("rep", "n_shingles", "registers")
 
     links, member = linked(
         members, lambda pairs: _confirmed(pairs, regs, sets, percent), lambda some: some.join(sets, "rep"), percent
@@ -241,7 +243,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
 def _confirmed(pairs: DataFrame, regs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose corrected estimate is not clearly too low and whose full sets are similar enough."""
-    side = lambda n: regs.select(
+    known = named_by(pairs, regs)
+    side = lambda n: known.select(
         F.col("rep").alias(n), F.col("n_shingles").alias(f"n_{n}"), F.col("registers").alias(f"r_{n}")
     )
     alike = F.aggregate(
@@ -255,6 +258,7 @@ def _confirmed(pairs: DataFrame, regs: DataFrame, sets: DataFrame, percent: int)
     )
     likely = durable(likely)
     common = F.size(F.array_intersect("s_a", "s_b"))
+    sets = named_by(likely, sets)
     return (
         likely.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("s_a")), "a")
         .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("s_b")), "b")
