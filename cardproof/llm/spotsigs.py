@@ -14,7 +14,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardproof.llm.components import led, linked
+from cardproof.llm.components import led, linked, named_by
 from cardproof.sources.durable import durable
 
 CHAIN = 2
@@ -137,8 +137,9 @@ def set_classes(prints: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     members = led(banded)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        a = sets.select(F.col("rep").alias("a"), F.col("signatures").alias("s_a"))
-        b = sets.select(F.col("rep").alias("b"), F.col("signatures").alias("s_b"))
+        known = named_by(pairs, sets)
+        a = known.select(F.col("rep").alias("a"), F.col("signatures").alias("s_a"))
+        b = known.select(F.col("rep").alias("b"), F.col("signatures").alias("s_b"))
         small, large = F.least(F.size("s_a"), F.size("s_b")), F.greatest(F.size("s_a"), F.size("s_b"))
         return (
             pairs.join(a, "a").join(b, "b").filter(small >= threshold * large)
@@ -157,7 +158,8 @@ def set_classes(prints: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def with_next(rows: DataFrame, columns: list[str], derive: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """Adds ``next_<column>`` of the row that follows by ``doc_id`` (ties by text); the first follows the last.
 
-    ``derive`` adds columns to rows that are computed from the row alone; it is applied before the move, so once a row.
+    ``derive`` adds columns to rows that are computed from the row alone; it is applied after the move, once a row, so that
+    only ``rows`` are moved.
 
     Ids are cut into buckets of about ``BUCKET_ROWS`` rows at their quantiles, rows are moved to their bucket once, and a
     window finds the next row there. What follows a bucket's last row is the first row of the next bucket: at most
@@ -175,9 +177,8 @@ def with_next(rows: DataFrame, columns: list[str], derive: Callable[[DataFrame],
     put = lambda df: cutter.transform(df.withColumn("__at", place)).drop("__at")
     order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
     inside = Window.partitionBy("bucket").orderBy(*order)
-    derived = derive(rows)
-    # each column by itself: a struct of them would be moved beside them
-    followed = put(derived).select(
+    derived = derive(put(rows).repartition("bucket"))
+    followed = derived.select(
         "*", F.lead(F.lit(True)).over(inside).alias("__has"), *(F.lead(c).over(inside).alias(f"next_{c}") for c in columns)
     )
     heads = put(rows.select("doc_id")).groupBy("bucket").agg(F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("head"))
@@ -195,7 +196,7 @@ def with_next(rows: DataFrame, columns: list[str], derive: Callable[[DataFrame],
     )
     joined = followed.join(first_rows, (F.col("bucket") == F.col("before")) & F.col("__has").isNull(), "left")
     return joined.select(
-        *derived.columns,
+        *(c for c in derived.columns if c != "bucket"),
         *(F.when(F.col("__has"), F.col(f"next_{c}")).otherwise(F.col("__first")[c]).alias(f"next_{c}") for c in columns),
     )
 

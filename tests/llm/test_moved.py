@@ -1,6 +1,8 @@
 """What is moved on the way to near-duplicates: few rows beside those that can be linked."""
 
-from cardproof.llm import components
+from pyspark.sql import functions as F
+
+from cardproof.llm import components, spotsigs
 
 
 def test_rows_of_a_few_ids_are_found_with_few_others(spark):
@@ -16,3 +18,13 @@ def test_few_pairs_need_their_own_rows_only(spark):
     pairs = lambda n: spark.createDataFrame([(i, i + 1) for i in range(n)], "a long, b long")
     assert sorted(r["rep"] for r in components.named_by(pairs(2), rows).collect()) == [0, 1, 2]
     assert components.named_by(pairs(50), rows).count() == 100
+
+
+def test_texts_are_moved_to_the_next_without_what_is_derived(spark):
+    rows = spark.createDataFrame([(i, f"the w{i} v{i}") for i in range(20)], "doc_id long, text string")
+    moved = spotsigs.with_next(rows, ["text"], lambda some: some.withColumn("length", F.length("text")))
+    plan = moved._jdf.queryExecution().optimizedPlan().toString()
+    below = plan.split("RepartitionByExpression [bucket", 1)[1].split("Relation", 1)[0].split("LogicalRDD", 1)[0]
+    assert "length(" in plan and "length(" not in below
+    found = moved.orderBy("doc_id").collect()
+    assert [r["next_text"] for r in found] == [f"the w{(i + 1) % 20} v{(i + 1) % 20}" for i in range(20)]
