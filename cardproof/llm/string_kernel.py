@@ -95,27 +95,24 @@ def kernel(codes: np.ndarray, other: np.ndarray) -> np.ndarray:
     size = other.shape[1]
     columns = np.ascontiguousarray(other.T)
     square = DECAY * DECAY
-    gaps = [np.zeros((size + 1, n), np.float32) for _ in range(ORDER)]  # K' by level, columns one to the right
-    gaps[0][:] = 1
+    gaps = np.zeros((ORDER, size + 1, n), np.float32)  # K' by level, columns one to the right
+    gaps[0] = 1
+    step, hit, before = np.empty((ORDER - 1, size, n), np.float32), np.empty((size, n), np.float32), np.empty((ORDER - 1, n), np.float32)
     total = np.zeros(n, np.float32)
     for i in range(width):
         char = codes[:, i]
         match = (columns == char) & (char != 0)
         if not match.any():
-            for level in gaps[1:]:
-                level *= DECAY
+            gaps[1:] *= DECAY
             continue
-        hit = match.astype(np.float32) * square
-        total += (hit * gaps[ORDER - 1][:-1]).sum(axis=0)
-        fresh = []
-        for level in range(1, ORDER):
-            step = hit * gaps[level - 1][:-1]
-            for j in range(1, size):
-                step[j] += DECAY * step[j - 1]
-            fresh.append(step)
-        for level, step in zip(gaps[1:], fresh):
-            level *= DECAY
-            level[1:] += step
+        np.multiply(match, square, out=hit)
+        np.multiply(hit, gaps[:-1, :-1], out=step)
+        total += (hit * gaps[-1, :-1]).sum(axis=0)
+        for j in range(1, size):
+            np.multiply(step[:, j - 1], DECAY, out=before)
+            step[:, j] += before
+        gaps[1:] *= DECAY
+        gaps[1:, 1:] += step
     return total
 
 
