@@ -174,7 +174,8 @@ def with_next(rows: DataFrame, columns: list[str], derive: Callable[[DataFrame],
     splits = [-math.inf, *(sorted(set(cuts or [])) or [0.0]), math.inf]
     cutter = Bucketizer(splits=splits, inputCol="__at", outputCol="bucket", handleInvalid="keep")
     place = F.coalesce(F.col("doc_id").cast("double"), F.lit(-math.inf))
-    put = lambda df: cutter.transform(df.withColumn("__at", place)).drop("__at")
+    # a whole number: a window by a double moves its rows again, as it makes -0.0 and NaN equal first
+    put = lambda df: cutter.transform(df.withColumn("__at", place)).drop("__at").withColumn("bucket", F.col("bucket").cast("int"))
     order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
     inside = Window.partitionBy("bucket").orderBy(*order)
     derived = derive(put(rows).repartition("bucket"))

@@ -28,3 +28,9 @@ def test_texts_are_moved_to_the_next_without_what_is_derived(spark):
     assert "length(" in plan and "length(" not in below
     found = moved.orderBy("doc_id").collect()
     assert [r["next_text"] for r in found] == [f"the w{(i + 1) % 20} v{(i + 1) % 20}" for i in range(20)]
+
+
+def test_rows_are_moved_to_their_bucket_once(spark):
+    rows = spark.createDataFrame([(i, f"the w{i} v{i}") for i in range(20)], "doc_id long, text string")
+    plan = spotsigs.with_next(rows, ["text"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
