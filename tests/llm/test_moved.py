@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cardproof.llm import components, spotsigs
+from cardproof.llm import components, line_dedup, spotsigs
 
 
 def test_rows_of_a_few_ids_are_found_with_few_others(spark):
@@ -34,3 +34,51 @@ def test_rows_are_moved_to_their_bucket_once(spark):
     rows = spark.createDataFrame([(i, f"the w{i} v{i}") for i in range(20)], "doc_id long, text string")
     plan = spotsigs.with_next(rows, ["text"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def stored_by(module, monkeypatch):
+    """The frames that a module stores from now on."""
+    stored, store = [], module.durable
+    monkeypatch.setattr(module, "durable", lambda df: stored.append(store(df)) or stored[-1])
+    return stored
+
+
+def test_elements_that_lead_to_no_pair_are_not_stored(spark, monkeypatch):
+    stored = stored_by(components, monkeypatch)
+    rows = [(i, i, [1000 * i + k for k in range(50)]) for i in range(20)] + [(20, 20, list(range(50)))]
+    found = components.prefix_pairs(spark.createDataFrame(rows, "rep long, of long, shingles array<long>"), 80).collect()
+    assert [tuple(r) for r in found] == [(0, 20)]
+    assert sum(df.count() for df in stored) < 100  # of 1,050 elements
+
+
+def test_lines_of_few_pairs_are_compared_without_stored_sets(spark, monkeypatch):
+    lines = [f"the line number one of {i // 2} has words enough to be like its twin {'x' * (i % 2)}" for i in range(8)] + ["nothing like it in this table"]
+    texts = spark.createDataFrame(list(enumerate(lines)), "line_key long, line string")
+    narrow = texts.select(F.col("line_key").alias("rep"), line_dedup.shingle_hashes(F.col("line")).alias("s"))
+    narrow = narrow.select("rep", F.size("s").alias("n"), line_dedup.range_minima("s").alias("minima"))
+    confirmed = lambda pairs: {
+        tuple(r) for r in line_dedup._confirmed(spark.createDataFrame(pairs, "a long, b long"), texts, narrow, 12, 80).collect()
+    }
+    stored = stored_by(line_dedup, monkeypatch)
+    twins = [(i, i + 1) for i in range(0, 8, 2)]
+    assert confirmed([*twins, (0, 8)]) == set(twins)
+    assert not any(kind.startswith("array") for df in stored for _, kind in df.dtypes)
+    every = [(i, j) for i in range(8) for j in range(i + 1, 9)]
+    assert confirmed(every) & set(twins) == set(twins) and confirmed(every) == confirmed_one_by_one(lines, every)
+    assert any(kind.startswith("array") for df in stored for _, kind in df.dtypes)
+
+
+def confirmed_one_by_one(lines, pairs):
+    sets = [{line[i : i + 12] for i in range(len(line) - 11)} for line in (x.strip().lower() for x in lines)]
+    return {(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+
+
+def test_shingles_of_one_byte_characters_are_those_of_the_pattern(spark):
+    lines = ["a", " Twelve chars ", "\tABC def\x0bGHI jkl MNO\r", "aaaaaaaaaaaaaaaaaaaa", "a\x00b" * 6, "ÄÖÜ äöü ß İıI xyz abc", "a😀b😀c😀d😀e😀f😀g😀h"]
+    rows = spark.createDataFrame([(x,) for x in lines], "line string")
+    plain = F.trim(F.translate(F.lower("line"), "\t\r\f\x0b", "    "))
+    place = F.explode(F.sequence(F.lit(1), F.greatest(F.length("plain") - 11, F.lit(1))))
+    pieces = rows.select("line", plain.alias("plain")).select("line", "plain", place.alias("at"))
+    wanted = pieces.groupBy("line").agg(F.collect_set(F.xxhash64(F.substring("plain", F.col("at"), F.lit(12)))).alias("s"))
+    wanted = {r["line"]: sorted(r["s"]) for r in wanted.collect()}
+    assert {r["line"]: r["s"] for r in rows.select("line", line_dedup.shingle_hashes(F.col("line")).alias("s")).collect()} == wanted
