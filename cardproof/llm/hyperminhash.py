@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from cardproof.llm.arrow_text import chunks, mix64, words
 from cardproof.llm.components import led, likely_in, linked, named_by
-from cardproof.sources.durable import durable
+from cardproof.sources.durable import durable, lasting, scratch_scope
 
 SHINGLE = 5
 PERCENT = 75  # links need 100 * intersection >= PERCENT * union
@@ -196,41 +196,43 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     """
     docs = docs.select("doc_id", "text")
     keys = ["key_1", "key_2", "n_shingles"]
-    rows = durable(signatures(docs, size).withColumn("rep", F.xxhash64(*keys)))
-    some = rows.filter("n_shingles > 0")
-    classes = durable(some.groupBy("rep").agg(F.min("doc_id").alias("first")))
-    reps = durable(some.select("rep", "bands").dropDuplicates(["rep"]))  # rows of one set have equal bands and registers
-    banded = reps.select("rep", F.explode("bands").alias("band"))
-    members = led(banded)
-    involved = durable(members.select("rep").distinct().join(classes, "rep"))
-    alone, firsts = involved.select("rep"), involved.select("first").distinct()
-    regs = durable(
-        likely_in(some.select("rep", "n_shingles", "registers"), "rep", alone)
-        .join(alone, "rep", "left_semi")
-        .dropDuplicates(["rep"])
-    )
-    texts = likely_in(docs, "doc_id", firsts)  # so that the others' texts are not moved
-    texts = texts.join(firsts, texts["doc_id"].eqNullSafe(firsts["first"]), "left_semi").select("doc_id", "text")
-    sets = durable(
-        texts.mapInArrow(_sets(size), "key_1 long, key_2 long, n_shingles long, shingles array<long>")
-        .select(F.xxhash64(*keys).alias("rep"), "shingles")
-        .dropDuplicates(["rep"])
-    )
-
-    links, member = linked(
-        members, lambda pairs: _confirmed(pairs, regs, sets, percent), lambda some: some.join(sets, "rep"), percent
-    )
-    count = (
-        links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count("*").alias("links"))
-    )
-    placed = durable(
-        classes.join(member.withColumnRenamed("node", "rep"), "rep", "left")
-        .join(count, "rep", "left")
-        .select("rep", "first", F.coalesce("component", "rep").alias("component"), F.coalesce("links", F.lit(0)).alias("links"))
-    )
-    smallest = placed.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = durable(placed.join(smallest, "component").select("rep", "component_id", "links"))
-    own = rows.select("doc_id", "n_shingles", "rep").join(named, "rep", "left")
+    with scratch_scope(docs.sparkSession):
+        rows = durable(signatures(docs, size).withColumn("rep", F.xxhash64(*keys)))
+        narrow = lasting(rows.select("doc_id", "n_shingles", "rep"))
+        some = rows.filter("n_shingles > 0")
+        classes = durable(some.groupBy("rep").agg(F.min("doc_id").alias("first")))
+        reps = durable(some.select("rep", "bands").dropDuplicates(["rep"]))  # rows of one set have equal bands and registers
+        banded = reps.select("rep", F.explode("bands").alias("band"))
+        members = led(banded)
+        involved = durable(members.select("rep").distinct().join(classes, "rep"))
+        alone, firsts = involved.select("rep"), involved.select("first").distinct()
+        regs = durable(
+            likely_in(some.select("rep", "n_shingles", "registers"), "rep", alone)
+            .join(alone, "rep", "left_semi")
+            .dropDuplicates(["rep"])
+        )
+        texts = likely_in(docs, "doc_id", firsts)  # so that the others' texts are not moved
+        texts = texts.join(firsts, texts["doc_id"].eqNullSafe(firsts["first"]), "left_semi").select("doc_id", "text")
+        sets = durable(
+            texts.mapInArrow(_sets(size), "key_1 long, key_2 long, n_shingles long, shingles array<long>")
+            .select(F.xxhash64(*keys).alias("rep"), "shingles")
+            .dropDuplicates(["rep"])
+        )
+
+        links, member = linked(
+            members, lambda pairs: _confirmed(pairs, regs, sets, percent), lambda some: some.join(sets, "rep"), percent
+        )
+        count = (
+            links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count("*").alias("links"))
+        )
+        placed = durable(
+            classes.join(member.withColumnRenamed("node", "rep"), "rep", "left")
+            .join(count, "rep", "left")
+            .select("rep", "first", F.coalesce("component", "rep").alias("component"), F.coalesce("links", F.lit(0)).alias("links"))
+        )
+        smallest = placed.groupBy("component").agg(F.min("first").alias("component_id"))
+        named = lasting(placed.join(smallest, "component").select("rep", "component_id", "links"))
+    own = narrow.join(named, "rep", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return own.select(
         "doc_id",
@@ -272,6 +274,7 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
 
     Rows of one id stay or go together; they stay if one of them is kept.
     """
-    found = near_duplicates(docs, size, percent).groupBy(F.col("doc_id").alias("__drop")).agg(F.max("kept").alias("__kept"))
-    gone = durable(found.filter("not __kept").select("__drop"))
+    with scratch_scope(docs.sparkSession):
+        found = near_duplicates(docs, size, percent).groupBy(F.col("doc_id").alias("__drop")).agg(F.max("kept").alias("__kept"))
+        gone = lasting(found.filter("not __kept").select("__drop"))
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__drop"]), "left_anti")

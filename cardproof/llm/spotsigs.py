@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardproof.llm.components import led, linked, named_by
-from cardproof.sources.durable import durable
+from cardproof.sources.durable import durable, lasting, scratch_scope
 
 CHAIN = 2
 THRESHOLD = 0.75
@@ -116,43 +116,44 @@ def set_classes(prints: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     threshold cannot all miss, in its own length partition and the next, so sets whose lengths rule the threshold
     out do not meet. Signatures of a single set lead to no other and are counted, but not ranked.
     """
-    sets = durable(
-        prints.filter(F.size("signatures") > 0)
-        .select(set_key("signatures").alias("rep"), "doc_id", "signatures")
-        .groupBy("rep")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("signatures").alias("signatures"))
-    )
-    held = sets.select("rep", F.size("signatures").alias("n"), F.explode("signatures").alias("signature"))
-    frequency = held.groupBy("signature").agg(F.count("*").alias("sets")).filter("sets > 1")
-    shared = held.join(frequency, "signature")
-    own = Window.partitionBy("rep")
-    ranked = shared.withColumn(
-        "turn", F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("sets", "signature"))
-    )
-    prefix = ranked.filter(F.col("turn") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1)
-    part = partition(F.col("n"), threshold)
-    banded = prefix.select("rep", F.explode(F.array(part, part + 1)).alias("part"), "signature").select(
-        F.xxhash64("part", "signature").alias("band"), "rep"
-    )
-    members = led(banded)
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        known = named_by(pairs, sets)
-        a = known.select(F.col("rep").alias("a"), F.col("signatures").alias("s_a"))
-        b = known.select(F.col("rep").alias("b"), F.col("signatures").alias("s_b"))
-        small, large = F.least(F.size("s_a"), F.size("s_b")), F.greatest(F.size("s_a"), F.size("s_b"))
-        return (
-            pairs.join(a, "a").join(b, "b").filter(small >= threshold * large)
-            .filter(likeness(F.col("s_a"), F.col("s_b")) >= threshold).select("a", "b")
+    with scratch_scope(prints.sparkSession):
+        sets = durable(
+            prints.filter(F.size("signatures") > 0)
+            .select(set_key("signatures").alias("rep"), "doc_id", "signatures")
+            .groupBy("rep")
+            .agg(F.min("doc_id").alias("doc_id"), F.first("signatures").alias("signatures"))
         )
-
-    of_rep = sets.select("rep", F.col("signatures").alias("shingles"))
-    _, member = linked(members, confirmed, lambda some: some.join(of_rep, "rep"), math.floor(100 * threshold + 1e-9))
-    placed = sets.select("rep", "doc_id").join(member.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "rep", "doc_id", F.coalesce("component", "rep").alias("component")
-    )
-    smallest = placed.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    return durable(placed.join(smallest, "component").select(F.col("rep").alias("set_key"), "class_id"))
+        held = sets.select("rep", F.size("signatures").alias("n"), F.explode("signatures").alias("signature"))
+        frequency = held.groupBy("signature").agg(F.count("*").alias("sets")).filter("sets > 1")
+        shared = held.join(frequency, "signature")
+        own = Window.partitionBy("rep")
+        ranked = shared.withColumn(
+            "turn", F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("sets", "signature"))
+        )
+        prefix = ranked.filter(F.col("turn") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1)
+        part = partition(F.col("n"), threshold)
+        banded = prefix.select("rep", F.explode(F.array(part, part + 1)).alias("part"), "signature").select(
+            F.xxhash64("part", "signature").alias("band"), "rep"
+        )
+        members = led(banded)
+
+        def confirmed(pairs: DataFrame) -> DataFrame:
+            known = named_by(pairs, sets)
+            a = known.select(F.col("rep").alias("a"), F.col("signatures").alias("s_a"))
+            b = known.select(F.col("rep").alias("b"), F.col("signatures").alias("s_b"))
+            small, large = F.least(F.size("s_a"), F.size("s_b")), F.greatest(F.size("s_a"), F.size("s_b"))
+            return (
+                pairs.join(a, "a").join(b, "b").filter(small >= threshold * large)
+                .filter(likeness(F.col("s_a"), F.col("s_b")) >= threshold).select("a", "b")
+            )
+
+        of_rep = sets.select("rep", F.col("signatures").alias("shingles"))
+        _, member = linked(members, confirmed, lambda some: some.join(of_rep, "rep"), math.floor(100 * threshold + 1e-9))
+        placed = sets.select("rep", "doc_id").join(member.withColumnRenamed("node", "rep"), "rep", "left").select(
+            "rep", "doc_id", F.coalesce("component", "rep").alias("component")
+        )
+        smallest = placed.groupBy("component").agg(F.min("doc_id").alias("class_id"))
+        return lasting(placed.join(smallest, "component").select(F.col("rep").alias("set_key"), "class_id"))
 
 
 def with_next(rows: DataFrame, columns: list[str], derive: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardproof.sources.durable import durable
+from cardproof.sources.durable import durable, lasting, scratch_scope
 
 SPAN = 13
 GRAM = 5
@@ -195,7 +195,8 @@ def _equal_runs(pairs: DataFrame, span: int) -> DataFrame:
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents that are not contaminated, with their own columns."""
-    bad = contamination(docs, items, **options).filter("contaminated")
-    bad = durable(bad.select(F.col("doc_id").alias("__bad"), F.col("text_key").alias("__key")).distinct())
+    with scratch_scope(docs.sparkSession):
+        bad = contamination(docs, items, **options).filter("contaminated")
+        bad = lasting(bad.select(F.col("doc_id").alias("__bad"), F.col("text_key").alias("__key")).distinct())
     same = docs["doc_id"].eqNullSafe(F.col("__bad")) & (F.xxhash64(docs["text"]) == F.col("__key"))
     return docs.join(bad, same, "left_anti")
