@@ -21,6 +21,7 @@ CHAIN = 2
 THRESHOLD = 0.75
 BUCKET_ROWS = 512
 MAX_BUCKETS = 50_000
+SLICES = 4
 
 # Common words of English, German, French and Spanish.
 ANCHORS = (
@@ -109,6 +110,22 @@ def with_class(rows: DataFrame, named: DataFrame) -> DataFrame:
     return rows.join(named, "set_key", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
 
 
+def _shared(sets: DataFrame) -> DataFrame:
+    """``rep, n, signature, sets`` of the signatures that more than one of ``rep, signatures`` holds.
+
+    Signatures are dealt into ``SLICES`` that are counted one after the other: those that are held once, most of them, are never moved all at
+    a time, and what was moved for a slice is removed before the next.
+    """
+    held = sets.select("rep", F.size("signatures").alias("n"), F.explode("signatures").alias("signature"))
+    found = None
+    for turn in range(SLICES):
+        some = held.filter(F.pmod("signature", F.lit(SLICES)) == turn)
+        frequency = some.groupBy("signature").agg(F.count("*").alias("sets")).filter("sets > 1")
+        more = durable(some.join(frequency, "signature").select("rep", "n", "signature", "sets"))
+        found = more if found is None else found.unionByName(more)
+    return found
+
+
 def set_classes(prints: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per set of ``doc_id, signatures`` that is not empty: ``set_key, class_id``.
 
@@ -123,17 +140,17 @@ def set_classes(prints: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             .groupBy("rep")
             .agg(F.min("doc_id").alias("doc_id"), F.first("signatures").alias("signatures"))
         )
-        held = sets.select("rep", F.size("signatures").alias("n"), F.explode("signatures").alias("signature"))
-        frequency = held.groupBy("signature").agg(F.count("*").alias("sets")).filter("sets > 1")
-        shared = held.join(frequency, "signature")
+        shared = _shared(sets)
         own = Window.partitionBy("rep")
         ranked = shared.withColumn(
             "turn", F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("sets", "signature"))
         )
         prefix = ranked.filter(F.col("turn") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1)
         part = partition(F.col("n"), threshold)
-        banded = prefix.select("rep", F.explode(F.array(part, part + 1)).alias("part"), "signature").select(
-            F.xxhash64("part", "signature").alias("band"), "rep"
+        banded = durable(
+            prefix.select("rep", F.explode(F.array(part, part + 1)).alias("part"), "signature").select(
+                F.xxhash64("part", "signature").alias("band"), "rep"
+            )
         )
         members = led(banded)
 

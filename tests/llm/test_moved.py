@@ -82,3 +82,13 @@ def test_shingles_of_one_byte_characters_are_those_of_the_pattern(spark):
     wanted = pieces.groupBy("line").agg(F.collect_set(F.xxhash64(F.substring("plain", F.col("at"), F.lit(12)))).alias("s"))
     wanted = {r["line"]: sorted(r["s"]) for r in wanted.collect()}
     assert {r["line"]: r["s"] for r in rows.select("line", line_dedup.shingle_hashes(F.col("line")).alias("s")).collect()} == wanted
+
+
+def test_signatures_are_counted_slice_by_slice(spark, monkeypatch):
+    stored = stored_by(spotsigs, monkeypatch)
+    rows = [(i, sorted({7, -8, 100 + i // 3, *range(1000 * i, 1000 * i + 40)})) for i in range(9)] + [(9, [])]
+    found = spotsigs._shared(spark.createDataFrame(rows, "rep long, signatures array<long>")).collect()
+    of = {s: [i for i, r in rows if s in r] for _, r in rows for s in r}
+    assert sorted(tuple(r) for r in found) == sorted((i, len(rows[i][1]), s, len(of[s])) for s in of for i in of[s] if len(of[s]) > 1)
+    assert len(stored) == spotsigs.SLICES > 1
+    assert all(len({r["signature"] % spotsigs.SLICES for r in df.collect()}) <= 1 for df in stored)
