@@ -92,3 +92,21 @@ def test_signatures_are_counted_slice_by_slice(spark, monkeypatch):
     assert sorted(tuple(r) for r in found) == sorted((i, len(rows[i][1]), s, len(of[s])) for s in of for i in of[s] if len(of[s]) > 1)
     assert len(stored) == spotsigs.SLICES > 1
     assert all(len({r["signature"] % spotsigs.SLICES for r in df.collect()}) <= 1 for df in stored)
+
+
+def test_lines_and_documents_without_a_like_are_not_moved(spark, conf, monkeypatch):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    twin = "this line stands in two documents as it is, or nearly so"
+    texts = [f"{i} is {i * 7919 % 1000} not {i * 104729 % 99991} like {i * 15485863 % 9999991} any" for i in range(200)]
+    texts += [twin, twin + "!", twin, None, ""]
+    docs = spark.createDataFrame([(i if i != 200 else None, x) for i, x in enumerate(texts)], "doc_id long, text string")
+    stored, lines = [], line_dedup.durable
+    monkeypatch.setattr(line_dedup, "durable", lambda df: stored.append(df) or lines(df))
+    out = line_dedup.drop_repeated_lines(docs)
+    texts_moved = next(df for df in stored if df.columns == ["line_key", "line"])
+    for moved in (texts_moved, out):
+        plan = moved._jdf.queryExecution().optimizedPlan().toString()
+        assert "scalar-subquery" in plan.split("Join", 1)[1]
+    assert sorted((str(r["doc_id"]), r["text"]) for r in out.collect()) == sorted(
+        (str(i if i != 200 else None), "" if i in (201, 202) else x) for i, x in enumerate(texts)
+    )
